@@ -1,0 +1,100 @@
+"""Spark-vs-DuckDB comparison of registered queries (row count, columns, values).
+
+Usable from pytest and as a script::
+
+    python tests/oracle_compare.py /root/testdata/sf0.01 [name ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+import sys
+import time
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return "NULL"
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "NULL"
+        return repr(float(v))
+    if isinstance(v, decimal.Decimal):
+        return str(v)
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat(sep=" ")
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    if hasattr(v, "to_pydatetime"):
+        return v.to_pydatetime().replace(tzinfo=None).isoformat(sep=" ")
+    return str(v)
+
+
+def rows_of(columns, records):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(_norm(r[i]) for i in order) for r in records), sorted(columns)
+
+
+def compare(spark, con, name, fn, sql, sf_dir):
+    t0 = time.time()
+    sdf = fn(spark, sf_dir)
+    s_rows = [tuple(r) for r in sdf.collect()]
+    t1 = time.time()
+    s_vals, s_cols = rows_of(sdf.columns, s_rows)
+    if sql is None:
+        return dict(name=name, ok=None, rows=len(s_rows), spark_s=round(t1 - t0, 2))
+    cur = con.execute(sql)
+    d_cols = [d[0] for d in cur.description]
+    d_vals, d_cols_sorted = rows_of(d_cols, cur.fetchall())
+    res = dict(name=name, rows=len(s_rows), oracle_rows=len(d_vals), spark_s=round(t1 - t0, 2))
+    res["cols_ok"] = s_cols == d_cols_sorted
+    res["ok"] = res["cols_ok"] and s_vals == d_vals
+    if not res["ok"]:
+        res["spark_cols"], res["duck_cols"] = s_cols, d_cols_sorted
+        diff_s = [r for r in s_vals if r not in set(d_vals)][:3]
+        diff_d = [r for r in d_vals if r not in set(s_vals)][:3]
+        res["only_spark"], res["only_duck"] = diff_s, diff_d
+    return res
+
+
+def main(argv):
+    sys.path.insert(0, ".")
+    import __spark_entry__ as E
+    from fraudlens.session import build_session
+
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    names = argv[2:]
+    spark = build_session(master="local[8]", shuffle_partitions=8)
+    con = duck_connection(sf_dir)
+    qs, sqls = E.queries(), E.oracle_sql()
+    bad = 0
+    for name, fn in qs.items():
+        if names and not any(name.startswith(n) for n in names):
+            continue
+        try:
+            res = compare(spark, con, name, fn, sqls.get(name), sf_dir)
+        except Exception as exc:  # report and continue
+            res = dict(name=name, ok=False, error=f"{type(exc).__name__}: {str(exc)[:400]}")
+        bad += res.get("ok") is False
+        print(res, flush=True)
+    print("FAILED" if bad else "ALL OK", bad)
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv))
