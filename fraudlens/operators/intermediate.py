@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from fraudlens.functions import columns as C
 from fraudlens.operators.lookup import DEFAULT_BROADCAST_MAX_ROWS, lookup_join
 from fraudlens.operators.percentile import percentile_cont_frame
+from fraudlens.session import materialize
 
 COMPLETED = "COMPLETED"
 
@@ -176,8 +177,18 @@ def merchant_p95(agg: DataFrame, p: float = C.P95) -> DataFrame:
     return rate.select(F.col("p95_fraud_rate"), velocity.scalar().alias("p95_velocity"))
 
 
-def int_merchant_risk_score(stg_txn: DataFrame, stg_merchants: DataFrame, p: float = C.P95) -> DataFrame:
+def int_merchant_risk_score(
+    stg_txn: DataFrame, stg_merchants: DataFrame, p: float = C.P95, checkpoint: bool = True
+) -> DataFrame:
+    """Merchants ⟕ per-merchant aggregate, flagged against exact 95th percentiles.
+
+    The aggregate has one row per merchant; with ``checkpoint`` it is
+    materialised once (reliable checkpoint) so the fact is scanned a single
+    time although the percentile passes and the final join all read it.
+    """
     agg = merchant_agg(stg_txn)
+    if checkpoint:
+        agg = materialize(agg)
     p95 = merchant_p95(agg, p).select(F.struct("p95_fraud_rate", "p95_velocity")).scalar()
     p95_rate, p95_velocity = p95.getField("p95_fraud_rate"), p95.getField("p95_velocity")
     m = stg_merchants.select(

@@ -1 +1,263 @@
-"""Registered operator-level queries (joins, percentiles, quality, reports, incremental)."""
+"""Registered operator-level queries: joins, percentile, quality, reports, incremental."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fraudlens.functions import columns as C
+from fraudlens.operators import intermediate as I
+from fraudlens.operators import quality as Q
+from fraudlens.operators import reports as R
+from fraudlens.plans import incremental as INC
+from fraudlens.plans.oracle import cif, q, rrate, sdiv
+from fraudlens.plans.registry import AS_OF, models, register
+from fraudlens.session import materialize
+
+FUTURE_AT = f"{AS_OF} 12:00:00"
+FRESHNESS_AT = "2001-08-03 12:00:00"
+
+# --------------------------------------------------------------------- W1 / J5
+@register("w1_p95_thresholds", q(f"SELECT {rrate('p95_fraud_rate', 9)} AS p95_fraud_rate, "
+                                 f"{rrate('p95_velocity', 9)} AS p95_velocity FROM p95"))
+def w1_p95_thresholds(spark, sf_dir):
+    agg = materialize(I.merchant_agg(models(spark, sf_dir).stg_transactions))
+    return I.merchant_p95(agg).select(
+        C.round_rate("p95_fraud_rate", 9).alias("p95_fraud_rate"),
+        C.round_rate("p95_velocity", 9).alias("p95_velocity"),
+    )
+
+
+@register("j5_dangling_card_fk", q(
+    "SELECT t.transaction_id, t.card_id FROM stg_transactions t WHERE t.card_id IS NOT NULL "
+    "AND NOT EXISTS (SELECT 1 FROM stg_cards c WHERE c.card_id = t.card_id)"))
+def j5_dangling_card_fk(spark, sf_dir):
+    m = models(spark, sf_dir)
+    return Q.relationships(m.stg_transactions, "card_id", m.stg_cards, "card_id").select("transaction_id", "card_id")
+
+
+# --------------------------------------------------------------------- quality
+_CTE = {
+    "fct_transactions": "fct", "fct_fraud_summary": "fraud_summary",
+}
+
+
+def _tables(m):
+    return {
+        "raw_transactions": m.raw["transactions"], "raw_customers": m.raw["customers"],
+        "raw_merchants": m.raw["merchants"], "raw_cards": m.raw["cards"],
+        "stg_transactions": m.stg_transactions, "stg_customers": m.stg_customers,
+        "stg_merchants": m.stg_merchants, "stg_cards": m.stg_cards,
+        "fct_transactions": m.fct_transactions, "dim_customers": m.dim_customers,
+        "dim_merchants": m.dim_merchants, "fct_fraud_summary": m.fct_fraud_summary,
+    }
+
+
+def _lit(v) -> str:
+    return "'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else str(v)
+
+
+def _check_sql(c: Q.Check) -> str:
+    t = _CTE.get(c.model, c.model)
+    head = (f"SELECT {_lit(c.check_id)} AS check_id, {_lit(c.model)} AS model, "
+            f"{_lit(c.column)} AS column_name, {_lit(c.test)} AS test, ")
+    col = c.column
+    if c.test == "not_null":
+        n = f"(SELECT {cif(f'{col} IS NULL')} FROM {t})"
+    elif c.test == "accepted_values":
+        vals = ", ".join(_lit(v) for v in c.values)
+        n = f"(SELECT {cif(f'{col} IS NOT NULL AND {col} NOT IN ({vals})')} FROM {t})"
+    elif c.test == "accepted_range":
+        n = f"(SELECT {cif(f'NOT ({col} >= {c.lo} AND {col} <= {c.hi})')} FROM {t})"
+    elif c.test == "unique":
+        n = (f"(SELECT count(*) FROM (SELECT {col} FROM {t} WHERE {col} IS NOT NULL "
+             f"GROUP BY {col} HAVING count(*) > 1))")
+    else:
+        p = _CTE.get(c.parent, c.parent)
+        n = (f"(SELECT count(*) FROM {t} ch WHERE ch.{col} IS NOT NULL AND NOT EXISTS "
+             f"(SELECT 1 FROM {p} pa WHERE pa.{c.parent_column} = ch.{col}))")
+    return (head + f"CAST({n} AS BIGINT) AS failures, "
+            f"CASE WHEN {n} = 0 THEN 'pass' ELSE 'fail' END AS status")
+
+
+def _checks_sql(checks) -> str:
+    return q("\nUNION ALL\n".join(_check_sql(c) for c in checks))
+
+
+def _register_checks(name: str, checks) -> None:
+    def fn(spark, sf_dir):
+        return Q.run_checks(_tables(models(spark, sf_dir)), checks)
+    fn.__name__ = name
+    register(name, _checks_sql(checks))(fn)
+
+
+_register_checks("q0_all_schema_checks", Q.DECLARED_CHECKS)
+_register_checks("q1_unique", Q.checks_of("unique"))
+_register_checks("q2_not_null", Q.checks_of("not_null"))
+_register_checks("q3_accepted_values", Q.checks_of("accepted_values"))
+_register_checks("q4_relationships", Q.checks_of("relationships"))
+_register_checks("q5_accepted_range", Q.checks_of("accepted_range"))
+
+
+@register("q6_fraud_rate_threshold", q(
+    f"SELECT * FROM (SELECT {sdiv(cif('is_fraudulent = true'), 'count(*)')} AS overall_fraud_rate, "
+    "'Fraud rate exceeds 5% threshold — investigate pipeline or source data' AS failure_reason "
+    "FROM fct WHERE status = 'COMPLETED') WHERE overall_fraud_rate > 0.05"))
+def q6_fraud_rate_threshold(spark, sf_dir):
+    return Q.fraud_rate_above(models(spark, sf_dir).fct_transactions)
+
+
+@register("q7_future_transactions", q(
+    "SELECT transaction_id, transaction_ts, 'Transaction timestamp is in the future' AS failure_reason "
+    f"FROM fct WHERE transaction_ts > TIMESTAMP '{FUTURE_AT}'"))
+def q7_future_transactions(spark, sf_dir):
+    return Q.future_transactions(models(spark, sf_dir).fct_transactions, FUTURE_AT)
+
+
+_FRESH_H = f"(date_diff('second', max(CAST(transaction_ts AS TIMESTAMP)), TIMESTAMP '{FRESHNESS_AT}') / 3600.0)"
+
+
+@register("q8_source_freshness", q(
+    f"SELECT 'transactions' AS source_table, max(CAST(transaction_ts AS TIMESTAMP)) AS max_loaded_at, "
+    f"TIMESTAMP '{FRESHNESS_AT}' AS checked_at, {rrate(_FRESH_H, 3)} AS hours_since_load, "
+    f"CASE WHEN {_FRESH_H} > 48 THEN 'error' WHEN {_FRESH_H} > 24 THEN 'warn' ELSE 'pass' END AS freshness_status "
+    "FROM raw_transactions"))
+def q8_source_freshness(spark, sf_dir):
+    raw = models(spark, sf_dir).raw["transactions"]
+    return Q.freshness(raw, "transactions", "transaction_ts", FRESHNESS_AT)
+
+
+# --------------------------------------------------------------------- reports
+_DAILY = """
+spine AS (
+  SELECT CAST(unnest(generate_series(min(transaction_date), max(transaction_date), INTERVAL 1 DAY)) AS DATE)
+         AS transaction_date FROM fraud_summary
+),
+daily AS (
+  SELECT transaction_date, sum(total_transactions) AS total_transactions, sum(fraud_count) AS fraud_count,
+         sum(total_volume) AS total_volume, sum(fraud_volume) AS fraud_volume
+  FROM fraud_summary GROUP BY transaction_date
+),
+daily_totals AS (
+  SELECT s.transaction_date,
+         CAST(coalesce(d.total_transactions, 0) AS BIGINT) AS total_transactions,
+         CAST(coalesce(d.fraud_count, 0) AS BIGINT) AS fraud_count,
+         CAST(coalesce(d.total_volume, 0) AS DECIMAL(38,9)) AS total_volume,
+         CAST(coalesce(d.fraud_volume, 0) AS DECIMAL(38,9)) AS fraud_volume
+  FROM spine s LEFT JOIN daily d ON s.transaction_date = d.transaction_date
+)"""
+
+
+@register("r7_date_spine", q("SELECT * FROM daily_totals", _DAILY))
+def r7_date_spine(spark, sf_dir):
+    return R.daily_totals(models(spark, sf_dir).fct_fraud_summary)
+
+
+@register("r1_daily_fraud_trend", q(f"""
+SELECT transaction_date, total_transactions, fraud_count,
+       {rrate('rate', 6)} AS fraud_rate, {rrate('prior_avg', 6)} AS prior_7d_avg_rate,
+       {rrate('prior_std', 6)} AS prior_7d_std_rate,
+       coalesce(rate > prior_avg + 3.0 * prior_std, false) AS is_spike
+FROM (
+  SELECT *, avg(rate) OVER w AS prior_avg, stddev_samp(rate) OVER w AS prior_std
+  FROM (SELECT *, {sdiv('fraud_count', 'total_transactions')} AS rate FROM daily_totals)
+  WINDOW w AS (ORDER BY transaction_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
+)""", _DAILY))
+def r1_daily_fraud_trend(spark, sf_dir):
+    return R.daily_fraud_trend(models(spark, sf_dir).fct_fraud_summary)
+
+
+@register("r2_category_fraud_volume", q(f"""
+SELECT merchant_category, fraud_volume, fraud_count, total_volume, total_transactions,
+       {sdiv('fraud_count', 'total_transactions')} AS fraud_rate,
+       rank() OVER (ORDER BY fraud_volume DESC) AS volume_rank
+FROM (
+  SELECT merchant_category, CAST(sum(fraud_volume) AS DECIMAL(38,9)) AS fraud_volume,
+         CAST(sum(fraud_count) AS BIGINT) AS fraud_count, CAST(sum(total_volume) AS DECIMAL(38,9)) AS total_volume,
+         CAST(sum(total_transactions) AS BIGINT) AS total_transactions
+  FROM fraud_summary GROUP BY merchant_category
+)"""))
+def r2_category_fraud_volume(spark, sf_dir):
+    return R.category_fraud_volume(models(spark, sf_dir).fct_fraud_summary)
+
+
+@register("r3_elevated_fraud_by_band_country", q(f"""
+SELECT age_band, country, count(*) AS flagged_customers,
+       {cif("fraud_segment = 'HIGH_FRAUD'")} AS high_fraud_customers,
+       {cif("fraud_segment = 'ELEVATED_FRAUD'")} AS elevated_fraud_customers,
+       CAST(sum(fraud_txn_count) AS BIGINT) AS fraud_txn_count,
+       CAST(sum(lifetime_txn_count) AS BIGINT) AS lifetime_txn_count,
+       {sdiv('sum(fraud_txn_count)', 'sum(lifetime_txn_count)')} AS fraud_rate
+FROM dim_customers WHERE fraud_segment <> 'NORMAL' GROUP BY age_band, country"""))
+def r3_elevated_fraud_by_band_country(spark, sf_dir):
+    return R.elevated_fraud_by_band_country(models(spark, sf_dir).dim_customers)
+
+
+@register("r4_cross_border_fraud_share", q(f"""
+SELECT fraud_count, cross_border_fraud_count,
+       {sdiv('cross_border_fraud_count', 'fraud_count')} AS cross_border_share,
+       fraud_volume, cross_border_fraud_volume,
+       {sdiv('cross_border_fraud_volume', 'fraud_volume')} AS cross_border_volume_share
+FROM (
+  SELECT CAST(sum(fraud_count) AS BIGINT) AS fraud_count,
+         CAST(sum(CASE WHEN is_cross_border = true THEN fraud_count ELSE 0 END) AS BIGINT) AS cross_border_fraud_count,
+         CAST(sum(fraud_volume) AS DECIMAL(38,9)) AS fraud_volume,
+         CAST(sum(CASE WHEN is_cross_border = true THEN fraud_volume ELSE CAST(0 AS DECIMAL(28,9)) END)
+              AS DECIMAL(38,9)) AS cross_border_fraud_volume
+  FROM fraud_summary
+)"""))
+def r4_cross_border_fraud_share(spark, sf_dir):
+    return R.cross_border_fraud_share(models(spark, sf_dir).fct_fraud_summary)
+
+
+@register("r5_high_risk_merchants", q(
+    "SELECT merchant_id, merchant_name, category_code, country, total_txn_count, fraud_txn_count, fraud_rate, "
+    "merchant_risk_tier FROM dim_merchants WHERE high_fraud_rate_flag = true"))
+def r5_high_risk_merchants(spark, sf_dir):
+    return R.high_risk_merchants(models(spark, sf_dir).dim_merchants)
+
+
+@register("r6_fraud_by_hour", q(f"""
+SELECT hour_of_day, fraud_count, total_transactions, {sdiv('fraud_count', 'total_transactions')} AS fraud_rate,
+       rank() OVER (ORDER BY fraud_count DESC) AS fraud_rank
+FROM (SELECT hour_of_day, {cif('is_fraudulent = true')} AS fraud_count, count(*) AS total_transactions
+      FROM fct WHERE status = 'COMPLETED' GROUP BY hour_of_day)"""))
+def r6_fraud_by_hour(spark, sf_dir):
+    return R.fraud_by_hour(models(spark, sf_dir).fct_transactions)
+
+
+# --------------------------------------------------------------------- incremental
+_STALE = f"""
+stale AS (
+  SELECT * REPLACE (CASE WHEN transaction_date >= DATE '{AS_OF}' - 3 THEN 'PENDING' ELSE status END AS status)
+  FROM fct WHERE transaction_date < DATE '{AS_OF}' - 1
+),
+batch AS (SELECT * FROM fct WHERE transaction_date >= DATE '{AS_OF}' - 3)"""
+
+
+def _stale_snapshot(fct):
+    """Yesterday's table: the last day missing, the lookback days still PENDING."""
+    day = F.col("transaction_date")
+    return fct.where(day < F.date_sub(F.lit(AS_OF).cast("date"), 1)).withColumn(
+        "status", F.when(day >= F.date_sub(F.lit(AS_OF).cast("date"), C.LOOKBACK_DAYS), F.lit("PENDING"))
+        .otherwise(F.col("status")))
+
+
+@register("i2_lookback_batch", q(f"SELECT * FROM fct WHERE transaction_date >= DATE '{AS_OF}' - 3"))
+def i2_lookback_batch(spark, sf_dir):
+    return INC.lookback_batch(models(spark, sf_dir).fct_transactions, AS_OF)
+
+
+@register("u1_merge_upsert", q(
+    "SELECT * FROM stale WHERE transaction_id NOT IN (SELECT transaction_id FROM batch) "
+    "UNION ALL SELECT * FROM batch", _STALE))
+def u1_merge_upsert(spark, sf_dir):
+    fct = models(spark, sf_dir).fct_transactions
+    return INC.merge_by_key(_stale_snapshot(fct), INC.lookback_batch(fct, AS_OF), "transaction_id")
+
+
+@register("u2_relation_diff", q(
+    "SELECT (SELECT count(*) FROM (SELECT * FROM stale EXCEPT ALL SELECT * FROM fct)) AS rows_only_in_left, "
+    "(SELECT count(*) FROM (SELECT * FROM fct EXCEPT ALL SELECT * FROM stale)) AS rows_only_in_right", _STALE))
+def u2_relation_diff(spark, sf_dir):
+    fct = models(spark, sf_dir).fct_transactions
+    return INC.relation_diff(_stale_snapshot(fct), fct)

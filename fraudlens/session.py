@@ -74,3 +74,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path inside the shared checkpoint folder for staged writes."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else f"{base.rstrip('/')}/{name}"
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used for small derived tables that several later passes read (for
+    example the per-merchant aggregate feeding the exact percentiles), so the
+    large input behind them is scanned once.  Survives executor loss, unlike a
+    local checkpoint or a cache.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
