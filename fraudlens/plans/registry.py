@@ -47,7 +47,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # importing the modules registers their queries
-    from fraudlens.plans import queries_models, queries_ops  # noqa: F401
+    from fraudlens.plans import queries_models, queries_ops, queries_streaming  # noqa: F401
 
 
 __all__ = ["register", "models", "queries", "oracle_sql", "O", "AS_OF"]
