@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fraudlens.functions import columns as C
 
-AUDIT_UPDATED = "_dbt_updated_at"
+AUDIT_UPDATED = "_updated_at"  # audit column of every mart (run timestamp)
 
 FACT_COLUMNS = [
     "transaction_id", "card_id", "customer_id", "merchant_id",
