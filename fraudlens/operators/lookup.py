@@ -1,8 +1,10 @@
 """Fact → dimension lookup joins with a proven broadcast bound.
 
-A dimension side is broadcast only after a bounded count proves it has at
-most ``max_rows`` rows (``limit(max_rows + 1).count()`` stops reading once the
-bound is exceeded).  Larger dimensions fall back to a shuffle (sort-merge)
+A dimension side is broadcast only after a count proves it has at most
+``max_rows`` rows.  The count is a plain distributed ``count()`` (column
+pruned, partial aggregation); ``limit(n).count()`` is avoided on purpose, as
+its global limit funnels up to partitions × n rows through one task.
+Larger dimensions fall back to a shuffle (sort-merge)
 join; AQE then splits skewed fact partitions (for example one customer id, or
 NULL keys, holding a third of the rows) and may still switch to a broadcast
 join when the measured shuffle output turns out to be small.
@@ -18,7 +20,7 @@ DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
