@@ -2,6 +2,7 @@
 
 Commands mirror the reference workflow:
   generate     synthetic raw CSV/Parquet (distributed)
+  load         parse raw CSV once into Parquet raw tables    (load step)
   build        full build of all marts from raw files        (entry A)
   incremental  3-day lookback upsert of the fact + summary    (entry B)
   test         all declared data-quality checks               (entry C)
@@ -39,6 +40,10 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--raw-format", default="csv", choices=["csv", "parquet"])
         p.add_argument("--as-of", default=None, help="YYYY-MM-DD; default today")
 
+    ld = sub.add_parser("load")
+    ld.add_argument("--csv", required=True)
+    ld.add_argument("--raw", required=True)
+
     f = sub.add_parser("freshness")
     f.add_argument("--raw", required=True)
     f.add_argument("--raw-format", default="csv", choices=["csv", "parquet"])
@@ -56,6 +61,9 @@ def main(argv: list[str] | None = None) -> int:
         from fraudlens.sources import synthetic as G
         raw = G.generate(spark, a.rows, a.customers, a.merchants, a.cards, a.seed)
         print(json.dumps(G.write_raw(raw, a.out, a.format)))
+    elif a.cmd == "load":
+        from fraudlens.plans.pipeline import load_raw_csv
+        load_raw_csv(spark, a.csv, a.raw)
     elif a.cmd == "build":
         from fraudlens.plans.pipeline import build_all
         print(json.dumps(build_all(spark, a.raw, a.out, as_of=a.as_of, raw_fmt=a.raw_format)))

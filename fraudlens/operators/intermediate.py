@@ -44,6 +44,7 @@ def int_transactions_enriched(
     stg_customers: DataFrame,
     stg_merchants: DataFrame,
     max_broadcast_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+    decisions: list | None = None,
 ) -> DataFrame:
     cards = stg_cards.select(
         "card_id", "card_type",
@@ -64,9 +65,9 @@ def int_transactions_enriched(
         F.col("is_high_risk").alias("merchant_is_high_risk"),
     )
     t = stg_txn.drop("_loaded_at")
-    joined = lookup_join(t, cards, "card_id", max_broadcast_rows)
-    joined = lookup_join(joined, customers, "customer_id", max_broadcast_rows)
-    joined = lookup_join(joined, merchants, "merchant_id", max_broadcast_rows)
+    joined = lookup_join(t, cards, "card_id", max_broadcast_rows, decisions)
+    joined = lookup_join(joined, customers, "customer_id", max_broadcast_rows, decisions)
+    joined = lookup_join(joined, merchants, "merchant_id", max_broadcast_rows, decisions)
 
     high_risk_customer = F.col("customer_risk_tier").isin(C.HIGH_RISK_TIERS)
     # NULL-propagating sum: any lookup miss makes the score NULL

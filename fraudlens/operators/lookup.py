@@ -23,15 +23,17 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+                      decisions: list | None = None) -> DataFrame:
     """``F.broadcast(df)`` if ``df`` provably has ≤ ``max_rows`` rows, else ``df``.
 
     ``max_rows=None`` skips the check and leaves the choice to the planner
     (``autoBroadcastJoinThreshold`` on estimated size, then AQE at runtime).
     """
-    if max_rows is None:
-        return df
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+    small = max_rows is not None and has_at_most(df, max_rows)
+    if decisions is not None:
+        decisions.append(small)
+    return F.broadcast(df) if small else df
 
 
 def lookup_join(
@@ -39,6 +41,10 @@ def lookup_join(
     dim: DataFrame,
     key: str,
     max_broadcast_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+    decisions: list | None = None,
 ) -> DataFrame:
-    """Left outer equi-join of a fact to a dimension keyed on ``key``."""
-    return fact.join(bounded_broadcast(dim, max_broadcast_rows), on=key, how="left")
+    """Left outer equi-join of a fact to a dimension keyed on ``key``.
+
+    ``decisions`` (optional) collects whether the dimension was broadcast.
+    """
+    return fact.join(bounded_broadcast(dim, max_broadcast_rows, decisions), on=key, how="left")

@@ -42,6 +42,7 @@ class FraudModels:
         self.run_ts = run_ts
         self.audit = audit
         self.max_broadcast_rows = max_broadcast_rows
+        self.broadcast_decisions: list[bool] = []
 
     # staging ---------------------------------------------------------------
     @cached_property
@@ -65,9 +66,16 @@ class FraudModels:
     def enriched(self) -> DataFrame:
         return I.int_transactions_enriched(
             self.stg_transactions, self.stg_cards, self.stg_customers, self.stg_merchants,
-            self.max_broadcast_rows,
+            self.max_broadcast_rows, self.broadcast_decisions,
         )
 
+    @property
+    def all_lookups_broadcast(self) -> bool:
+        """True when every dimension of the enrichment was proven small and
+        broadcast, i.e. the fact plan has no shuffle."""
+        _ = self.enriched
+        return bool(self.broadcast_decisions) and all(self.broadcast_decisions)
+
     @cached_property
     def customer_profile(self) -> DataFrame:
         return I.int_customer_spend_profile(self.stg_transactions, self.stg_customers)
