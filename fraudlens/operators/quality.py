@@ -15,7 +15,7 @@ summary table ``(check_id, model, column_name, test, failures, status)``:
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
