@@ -173,9 +173,8 @@ def merchant_agg(stg_txn: DataFrame) -> DataFrame:
 
 def merchant_p95(agg: DataFrame, p: float = C.P95) -> DataFrame:
     """One row: exact ``percentile_cont`` of fraud rate and velocity."""
-    rate = percentile_cont_frame(agg, "fraud_rate", p, alias="p95_fraud_rate")
-    velocity = percentile_cont_frame(agg, "avg_daily_txn_velocity", p, alias="p95_velocity")
-    return rate.select(F.col("p95_fraud_rate"), velocity.scalar().alias("p95_velocity"))
+    return percentile_cont_frame(agg, ["fraud_rate", "avg_daily_txn_velocity"], p,
+                                 alias=["p95_fraud_rate", "p95_velocity"])
 
 
 def int_merchant_risk_score(

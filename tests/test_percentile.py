@@ -24,3 +24,14 @@ def test_bracket_fallback_is_still_exact(spark):
         ours = percentile_cont_frame(df, "x", p, accuracy=2).first()[0]
         ref = df.agg(F.percentile("x", p)).first()[0]
         assert abs(ours - ref) < 1e-12
+
+
+def test_several_columns_in_one_pass(spark):
+    rng = random.Random(7)
+    rows = [(rng.random(), float(rng.randint(0, 5)) if i % 3 else None, None) for i in range(1500)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = percentile_cont_frame(df, ["a", "b", "c"], 0.95, accuracy=50, alias=["pa", "pb", "pc"]).first()
+    for col, name in (("a", "pa"), ("b", "pb")):
+        ref = df.agg(F.percentile(col, 0.95)).first()[0]
+        assert abs(got[name] - ref) < 1e-12
+    assert got["pc"] is None
