@@ -63,10 +63,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     tests) do we fall back to a fresh folder under the system temp dir.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return current or ""
     if not current:
         current = tempfile.mkdtemp(prefix="fraudlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    sc.setCheckpointDir(current)
     return current
 
 
