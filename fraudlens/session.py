@@ -90,3 +90,30 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings sized to the data, for ``build_session(extra_conf=...)`` or spark-submit.
+
+    * initial shuffle partitions ≈ input / target size (at least 2 per core),
+      AQE then coalesces small ones and splits skewed ones to the same
+      advisory size, so a 100 TB build starts with ~400k partitions of ~256 MB
+      rather than the default 200 of ~500 GB;
+    * scan splits of half the target (Parquet expands when decoded);
+    * the broadcast threshold stays small: dimensions are broadcast through
+      the explicit, counted bound in ``operators/lookup.py``, never by a stale
+      size estimate;
+    * streaming state in RocksDB (off-heap, spills to local disk, checkpointed
+      to the shared folder) for key spaces larger than executor memory.
+    """
+    shuffle = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(target_partition_bytes // 8),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
