@@ -16,12 +16,14 @@ import argparse
 import json
 import sys
 
-from fraudlens.session import build_session
+from fraudlens.session import build_session, scale_conf
 
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="fraudlens")
     ap.add_argument("--master", default=None, help="only for local runs; spark-submit sets it on clusters")
+    ap.add_argument("--input-bytes", type=int, default=None,
+                    help="size of the raw input; sizes shuffle partitions and scan splits to it")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
     g = sub.add_parser("generate")
@@ -56,6 +58,10 @@ def main(argv: list[str] | None = None) -> int:
 
     a = ap.parse_args(argv)
     spark = build_session(master=a.master)
+    if a.input_bytes:
+        cores = spark.sparkContext.defaultParallelism
+        for key, value in scale_conf(a.input_bytes, cores).items():
+            spark.conf.set(key, value)
 
     if a.cmd == "generate":
         from fraudlens.sources import synthetic as G
