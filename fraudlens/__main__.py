@@ -68,16 +68,16 @@ def main(argv: list[str] | None = None) -> int:
         raw = G.generate(spark, a.rows, a.customers, a.merchants, a.cards, a.seed)
         print(json.dumps(G.write_raw(raw, a.out, a.format)))
     elif a.cmd == "load":
-        from fraudlens.plans.pipeline import load_raw_csv
+        from fraudlens.plans.runs import load_raw_csv
         load_raw_csv(spark, a.csv, a.raw)
     elif a.cmd == "build":
-        from fraudlens.plans.pipeline import build_all
+        from fraudlens.plans.runs import build_all
         print(json.dumps(build_all(spark, a.raw, a.out, as_of=a.as_of, raw_fmt=a.raw_format)))
     elif a.cmd == "incremental":
-        from fraudlens.plans.pipeline import incremental_run
+        from fraudlens.plans.runs import incremental_run
         print(json.dumps(incremental_run(spark, a.raw, a.out, as_of=a.as_of, raw_fmt=a.raw_format)))
     elif a.cmd == "test":
-        from fraudlens.plans.pipeline import quality_run
+        from fraudlens.plans.runs import quality_run
         rows = quality_run(spark, a.raw, a.out, as_of=a.as_of, raw_fmt=a.raw_format).collect()
         for row in rows:           # one row per declared check: bounded, not data-sized
             print(f"{row.status.upper():5} {row.failures:>10} {row.check_id}")

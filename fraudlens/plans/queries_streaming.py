@@ -16,7 +16,7 @@ from fraudlens.plans import incremental as INC
 from fraudlens.plans.oracle import q
 from fraudlens.plans.registry import models, register
 from fraudlens.session import scratch_path
-from fraudlens.streaming import pipelines as SP
+from fraudlens.streaming import flows as SP
 
 
 def _land(spark, sf_dir):

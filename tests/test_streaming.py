@@ -7,7 +7,7 @@ from fixtures import card, customer, merchant, raw_sources, txn
 from fraudlens.plans import incremental as INC
 from fraudlens.plans.models import FraudModels
 from fraudlens.sources.schemas import transactions_schema
-from fraudlens.streaming import pipelines as SP
+from fraudlens.streaming import flows as SP
 
 
 def _dims(spark):

@@ -38,7 +38,7 @@ def test_distributions_and_contracts(spark):
     assert {r[0] for r in high} <= set(G.HIGH_RISK_CATEGORIES)
 
 
-def test_csv_sink_feeds_the_pipeline(spark, tmp_dir):
+def test_csv_sink_feeds_the_models(spark, tmp_dir):
     G.write_raw(G.generate(spark, **SIZES), tmp_dir, fmt="csv")
     raw = RawSources.from_dir(spark, tmp_dir, fmt="csv")
     m = FraudModels(raw, as_of="2024-12-31", audit=False)
