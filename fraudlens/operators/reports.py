@@ -74,7 +74,7 @@ def category_fraud_volume(summary: DataFrame) -> DataFrame:
     return g.select(
         "merchant_category", "fraud_volume", "fraud_count", "total_volume", "total_transactions",
         C.safe_divide("fraud_count", "total_transactions").alias("fraud_rate"),
-        F.rank().over(Window.orderBy(F.desc("fraud_volume"))).alias("volume_rank"),
+        F.rank().over(Window.orderBy(F.desc("fraud_volume"))).cast("bigint").alias("volume_rank"),
     )
 
 
@@ -131,5 +131,5 @@ def fraud_by_hour(fct: DataFrame) -> DataFrame:
     return g.select(
         "hour_of_day", "fraud_count", "total_transactions",
         C.safe_divide("fraud_count", "total_transactions").alias("fraud_rate"),
-        F.rank().over(Window.orderBy(F.desc("fraud_count"))).alias("fraud_rank"),
+        F.rank().over(Window.orderBy(F.desc("fraud_count"))).cast("bigint").alias("fraud_rank"),
     )
