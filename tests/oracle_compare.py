@@ -50,6 +50,20 @@ def rows_of(columns, records):
     return sorted(tuple(_norm(r[i]) for i in order) for r in records), sorted(columns)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP"}
+
+
+def type_mismatches(sdf, con, sql):
+    duck = {r[0]: r[1] for r in con.execute(f"SELECT column_name, column_type FROM (DESCRIBE ({sql}))").fetchall()}
+    out = []
+    for f in sdf.schema.fields:
+        t = f.dataType.simpleString()
+        if duck.get(f.name) != SPARK_TO_DUCK.get(t, t.upper()):
+            out.append((f.name, t, duck.get(f.name)))
+    return out
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -63,7 +77,8 @@ def compare(spark, con, name, fn, sql, sf_dir):
     d_vals, d_cols_sorted = rows_of(d_cols, cur.fetchall())
     res = dict(name=name, rows=len(s_rows), oracle_rows=len(d_vals), spark_s=round(t1 - t0, 2))
     res["cols_ok"] = s_cols == d_cols_sorted
-    res["ok"] = res["cols_ok"] and s_vals == d_vals
+    res["type_mismatches"] = type_mismatches(sdf, con, sql)
+    res["ok"] = res["cols_ok"] and not res["type_mismatches"] and s_vals == d_vals
     if not res["ok"]:
         res["spark_cols"], res["duck_cols"] = s_cols, d_cols_sorted
         diff_s = [r for r in s_vals if r not in set(d_vals)][:3]

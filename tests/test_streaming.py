@@ -47,3 +47,21 @@ def test_summary_stream_equals_batch_summary(spark, tmp_dir):
     streamed = INC.read_table(spark, f"{tmp_dir}/summary")
     r = INC.relation_diff(streamed, m.fct_fraud_summary).first()
     assert (r.rows_only_in_left, r.rows_only_in_right) == (0, 0)
+
+
+def test_summary_stream_running_totals_across_micro_batches(spark, tmp_dir):
+    first = [txn(f"A{i}", date="2024-12-20", amount=float(i + 1), fraud=(i == 0), ftype="stolen_card")
+             for i in range(6)]
+    second = [txn(f"B{i}", date="2024-12-20", amount=2.0) for i in range(4)] + [txn("C", date="2024-12-21")]
+    landing = f"{tmp_dir}/landing"
+    _land(spark, landing, first)
+    _land(spark, landing, second)
+    stream = SP.read_transactions_stream(spark, landing, max_files_per_trigger=1)
+    SP.start_summary_stream(stream, *_dims(spark), f"{tmp_dir}/summary", f"{tmp_dir}/cp").awaitTermination()
+    m = FraudModels(raw_sources(spark, first + second, [customer("CUST_1")], [merchant("MERCH_1")], [card("CARD_1")]),
+                    as_of="2024-12-31", audit=False)
+    streamed = INC.read_table(spark, f"{tmp_dir}/summary")
+    r = INC.relation_diff(streamed, m.fct_fraud_summary).first()
+    assert (r.rows_only_in_left, r.rows_only_in_right) == (0, 0)
+    non_fraud = [x for x in streamed.collect() if x.fraud_type is None and str(x.transaction_date) == "2024-12-20"][0]
+    assert non_fraud.total_transactions == 9          # 5 from the first batch + 4 from the second
