@@ -261,3 +261,15 @@ def u1_merge_upsert(spark, sf_dir):
 def u2_relation_diff(spark, sf_dir):
     fct = models(spark, sf_dir).fct_transactions
     return INC.relation_diff(_stale_snapshot(fct), fct)
+
+
+# --------------------------------------------------------------------- S12
+@register("s12_input_file_sizes")          # file layout only: no SQL oracle (rows-only check)
+def s12_input_file_sizes(spark, sf_dir):
+    from fraudlens.sources.readers import file_sizes
+    parts = [file_sizes(spark, f"{sf_dir}/{t}.parquet").select(F.lit(t).alias("source_table"), "*")
+             for t in ("lineitem", "orders", "customer", "supplier", "nation")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
