@@ -100,3 +100,23 @@ class FraudModels:
     @cached_property
     def dim_merchants(self) -> DataFrame:
         return M.dim_merchants(self.merchant_risk, self.run_ts, self.audit)
+
+    # SQL access ---------------------------------------------------------------
+    MODEL_NAMES = (
+        "stg_transactions", "stg_customers", "stg_merchants", "stg_cards",
+        "enriched", "customer_profile", "merchant_risk",
+        "fct_transactions", "fct_fraud_summary", "dim_customers", "dim_merchants",
+    )
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every model (and the raw tables) as temp views for ``spark.sql``.
+
+        Views are lazy: a SQL query over them is planned together with the
+        model logic, so filters and column pruning still reach the scans.
+        """
+        self.raw.register_views(prefix=f"{prefix}raw_")
+        names = [f"{prefix}raw_{t}" for t in self.raw]
+        for name in self.MODEL_NAMES:
+            getattr(self, name).createOrReplaceTempView(f"{prefix}{name}")
+            names.append(f"{prefix}{name}")
+        return names

@@ -29,3 +29,15 @@ def test_scale_conf_sizes_partitions_to_the_data():
     conf = scale_conf(tb100, total_cores=8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert scale_conf(10 * 1024 ** 2, total_cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_models_as_sql_views(spark):
+    m = models(spark, SF)
+    names = m.register_views(prefix="t_")
+    assert "t_dim_merchants" in names and "t_raw_transactions" in names
+    by_sql = spark.sql("""
+        SELECT merchant_category, sum(fraud_volume) AS fraud_volume
+        FROM t_fct_fraud_summary GROUP BY merchant_category ORDER BY fraud_volume DESC""").collect()
+    by_df = m.fct_fraud_summary.groupBy("merchant_category").agg(F.sum("fraud_volume").alias("v")).collect()
+    assert {r[0]: r[1] for r in by_sql} == {r[0]: r[1] for r in by_df}
+    assert spark.sql("SELECT count(*) FROM t_dim_merchants WHERE merchant_risk_tier = 'HIGH'").first()[0] == 3
