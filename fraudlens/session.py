@@ -21,6 +21,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # reliable checkpoints (materialize) are removed once no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
