@@ -26,7 +26,6 @@ BASE_CONF = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
@@ -47,6 +46,12 @@ def build_session(
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        # file listing of day-partitioned tables: a few tasks per local core,
+        # not the cluster default of 10,000 tiny listing tasks
+        cores = (master[master.find("[") + 1:-1] if "[" in master else "1").split(",")[0]
+        n = (os.cpu_count() or 8) if cores in ("*", "") else int(cores)
+        conf["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(4 * n)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
@@ -116,6 +121,7 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(target_partition_bytes // 8),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(min(10_000, max(32, 2 * total_cores))),
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

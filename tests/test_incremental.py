@@ -84,3 +84,19 @@ def test_merge_by_key_replaces_whole_rows(spark):
     b = spark.createDataFrame([(2, "z"), (3, "q")], "k long, v string")
     got = sorted(tuple(r) for r in INC.merge_by_key(a, b, "k").collect())
     assert got == [(1, "x"), (2, "z"), (3, "q")]
+
+
+def test_incremental_run_refreshes_summary_and_clears_emptied_days(spark, tmp_dir):
+    from fraudlens.plans import runs
+    dims = dict(customers=[customer("CUST_1")], merchants=[merchant("MERCH_1")], cards=[card("CARD_1")])
+    day1 = [txn("A", date="2024-12-26"), txn("B", date="2024-12-28")]
+    runs.write_raw_parquet(spark, raw_sources(spark, day1, **dims), f"{tmp_dir}/raw")
+    runs.build_all(spark, f"{tmp_dir}/raw", f"{tmp_dir}/marts", as_of="2024-12-31")
+    # a correction moves B to another day (its old day becomes empty), and C arrives late
+    day2 = [txn("A", date="2024-12-26"), txn("B", date="2024-12-29"), txn("C", date="2024-12-30")]
+    runs.write_raw_parquet(spark, raw_sources(spark, day2, **dims), f"{tmp_dir}/raw")
+    stats = runs.incremental_run(spark, f"{tmp_dir}/raw", f"{tmp_dir}/marts", as_of="2024-12-31")
+    assert stats["emptied_partitions"] == ["2024-12-28"]
+    summary = spark.read.parquet(f"{tmp_dir}/marts/fct_fraud_summary")
+    got = sorted((str(r.transaction_date), r.total_transactions) for r in summary.collect())
+    assert got == [("2024-12-26", 1), ("2024-12-29", 1), ("2024-12-30", 1)]
