@@ -12,8 +12,12 @@ def test_cli_workflow(tmp_dir, capsys):
     raw, marts = f"{tmp_dir}/raw", f"{tmp_dir}/marts"
     assert main(["generate", "--out", raw, "--rows", "3000", "--customers", "200", "--merchants", "30",
                  "--cards", "300"]) == 0
-    assert main(["--input-bytes", "1000000", "build", "--raw", raw, "--out", marts, "--as-of", "2024-12-31"]) == 0
-    assert main(["incremental", "--raw", raw, "--out", marts, "--as-of", "2024-12-31"]) == 0
+    landed = f"{tmp_dir}/landed"
+    assert main(["load", "--csv", raw, "--raw", landed]) == 0
+    assert main(["--input-bytes", "1000000", "build", "--raw", landed, "--raw-format", "parquet",
+                 "--out", marts, "--as-of", "2024-12-31"]) == 0
+    assert main(["incremental", "--raw", landed, "--raw-format", "parquet", "--out", marts,
+                 "--as-of", "2024-12-31"]) == 0
     code = main(["test", "--raw", raw, "--out", marts, "--as-of", "2024-12-31"])
     out = capsys.readouterr().out
     assert out.count("PASS") + out.count("FAIL") == 57
