@@ -22,12 +22,23 @@ late-data window as the batch lookback:
   is evicted; for very large key spaces use the RocksDB state store
   (``spark.sql.streaming.stateStore.providerClass``).
 
+Micro-batch hand-off: a stream with a stateful operator runs its batches in
+a session clone with adaptive execution switched off (the state partition
+count must stay fixed), and writing day partitions there without AQE is an
+order of magnitude slower.  Each non-empty micro-batch is therefore written
+once to a staging folder in the shared checkpoint area (a narrow write) and
+read back through the application's own session, where the enrichment and
+the upsert run with AQE; the staged copy is removed afterwards.  Empty
+"no-data" batches (watermark advancement only) are skipped.
+
 Checkpoint locations must live in shared, durable storage (by default a
 folder under ``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,11 +49,24 @@ from fraudlens.operators import intermediate as I
 from fraudlens.operators import marts as M
 from fraudlens.operators import staging as S
 from fraudlens.plans import incremental as INC
+from fraudlens.session import scratch_path
 from fraudlens.sources.schemas import transactions_schema
 
 WATERMARK = f"{C.LOOKBACK_DAYS} days"
 
 
+def _handoff(spark: SparkSession, batch: DataFrame, epoch_id: int, process) -> None:
+    """Stage a micro-batch and process it through ``spark`` (AQE on)."""
+    if batch.isEmpty():
+        return
+    path = scratch_path(spark, f"microbatch-{epoch_id}-{uuid.uuid4().hex}")
+    batch.write.mode("overwrite").parquet(path)
+    try:
+        process(spark.read.parquet(path))
+    finally:
+        INC._delete_paths(spark, [path])
+
+
 def read_transactions_stream(
     spark: SparkSession, path: str, fmt: str = "parquet", id_type: T.DataType = T.StringType(),
     max_files_per_trigger: int | None = None, schema: T.StructType | None = None,
@@ -70,13 +94,16 @@ def start_fact_stream(
     target_path: str, checkpoint_location: str, available_now: bool = True,
     trigger_interval: str = "1 minute",
 ) -> StreamingQuery:
-    spark = raw_stream.sparkSession
+    spark = stg_cards.sparkSession          # the application's session (AQE on)
 
-    def process(batch: DataFrame, epoch_id: int) -> None:
+    def upsert_batch(batch: DataFrame) -> None:
         fct = M.fct_transactions(
             I.int_transactions_enriched(batch, stg_cards, stg_customers, stg_merchants), audit=False)
         INC.upsert(spark, fct, target_path)
 
+    def process(batch: DataFrame, epoch_id: int) -> None:
+        _handoff(spark, batch, epoch_id, upsert_batch)
+
     writer = staged_stream(raw_stream).writeStream.foreachBatch(process) \
         .option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
@@ -121,13 +148,16 @@ def start_summary_stream(
     target_path: str, checkpoint_location: str, available_now: bool = True,
     trigger_interval: str = "1 minute",
 ) -> StreamingQuery:
-    spark = raw_stream.sparkSession
+    spark = stg_cards.sparkSession          # the application's session (AQE on)
     enriched = I.int_transactions_enriched(
         S.stg_transactions(raw_stream, audit=False), stg_cards, stg_customers, stg_merchants)
 
-    def process(batch: DataFrame, epoch_id: int) -> None:
+    def upsert_groups(batch: DataFrame) -> None:
         INC.upsert(spark, batch, target_path, key=list(M.SUMMARY_KEYS), cluster_by=("merchant_category",))
 
+    def process(batch: DataFrame, epoch_id: int) -> None:
+        _handoff(spark, batch, epoch_id, upsert_groups)
+
     writer = summary_stream(enriched).writeStream.outputMode("update").foreachBatch(process) \
         .option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
