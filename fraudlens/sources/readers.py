@@ -94,3 +94,13 @@ def file_sizes(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
         .agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("size_mb", F.round(F.col("file_size") / F.lit(1024 * 1024), 3))
     )
+
+
+def is_partitioned_by(df: DataFrame, column: str) -> bool:
+    """True if the files behind ``df`` sit in ``column=value`` folders.
+
+    Reads the path of a single row (``limit(1)`` scans one split), so it is
+    cheap whatever the table size.
+    """
+    row = df.select(F.col("_metadata.file_path").alias("p")).limit(1).first()
+    return row is not None and f"/{column}=" in row["p"]

@@ -31,3 +31,12 @@ def test_raw_sources_lookup_and_views(spark):
     assert spark.sql("select count(*) from raw_cards").first()[0] == 297
     with pytest.raises(KeyError):
         RawSources({"nope": raw["cards"]})
+
+
+def test_day_partition_detection(spark, tmp_dir):
+    from fraudlens.sources.readers import is_partitioned_by
+    df = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-02")], "k string, transaction_date string")
+    df.write.partitionBy("transaction_date").parquet(f"{tmp_dir}/by_day")
+    df.write.parquet(f"{tmp_dir}/flat")
+    assert is_partitioned_by(spark.read.parquet(f"{tmp_dir}/by_day"), "transaction_date")
+    assert not is_partitioned_by(spark.read.parquet(f"{tmp_dir}/flat"), "transaction_date")
