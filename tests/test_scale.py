@@ -53,7 +53,10 @@ def test_broadcast_only_behind_a_proven_bound(spark):
 def test_skewed_keys_give_identical_results_on_both_join_paths(spark):
     conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            # keep the fallback path a shuffle join even at runtime, to see the skew split
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
     old = {k: spark.conf.get(k) for k in conf}
     try:
         for k, v in conf.items():
@@ -63,6 +66,10 @@ def test_skewed_keys_give_identical_results_on_both_join_paths(spark):
         for name in ("fct_transactions", "fct_fraud_summary", "dim_customers", "dim_merchants"):
             r = INC.relation_diff(getattr(shuffled, name), getattr(broadcast, name)).first()
             assert (r.rows_only_in_left, r.rows_only_in_right) == (0, 0), name
+        enriched = shuffled.enriched
+        enriched.collect()
+        final = _plan(enriched).split("== Initial Plan ==")[0]
+        assert final.count("SortMergeJoin") == 3 and final.count("skew=true") == 3   # hot key split by AQE
         hot = [r for r in broadcast.dim_customers.collect() if r.customer_id == "CUST_HOT"][0]
         assert hot.lifetime_txn_count == 1000 and hot.fraud_segment == "HIGH_FRAUD"
     finally:
