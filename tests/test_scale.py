@@ -57,7 +57,7 @@ def test_skewed_keys_give_identical_results_on_both_join_paths(spark):
             # keep the fallback path a shuffle join even at runtime, to see the skew split
             "spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
-    old = {k: spark.conf.get(k) for k in conf}
+    old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
@@ -74,4 +74,7 @@ def test_skewed_keys_give_identical_results_on_both_join_paths(spark):
         assert hot.lifetime_txn_count == 1000 and hot.fraud_segment == "HIGH_FRAUD"
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
