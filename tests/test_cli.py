@@ -21,6 +21,7 @@ def test_cli_workflow(tmp_dir, capsys):
     code = main(["test", "--raw", raw, "--out", marts, "--as-of", "2024-12-31"])
     out = capsys.readouterr().out
     assert out.count("PASS") + out.count("FAIL") == 57
+    assert len(os.listdir(f"{marts}/quality_results")) > 0          # results persisted
     # generated data has no dangling keys and clean codes: only the synthetic 'UNKNOWN'-free checks run
     assert code == 0, out
     assert main(["report", "--marts", marts, "--name", "r2", "--out", f"{tmp_dir}/r2"]) == 0
