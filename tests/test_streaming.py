@@ -65,3 +65,13 @@ def test_summary_stream_running_totals_across_micro_batches(spark, tmp_dir):
     assert (r.rows_only_in_left, r.rows_only_in_right) == (0, 0)
     non_fraud = [x for x in streamed.collect() if x.fraud_type is None and str(x.transaction_date) == "2024-12-20"][0]
     assert non_fraud.total_transactions == 9          # 5 from the first batch + 4 from the second
+
+
+def test_fact_stream_from_csv_landing(spark, tmp_dir):
+    landing = f"{tmp_dir}/csv"
+    rows = [txn(f"T{i}", date=f"2024-12-{20 + i % 3}", amount=float(i) + 0.5) for i in range(12)]
+    spark.createDataFrame(rows, transactions_schema()).coalesce(1).write.option("header", True).csv(landing)
+    stream = SP.read_transactions_stream(spark, landing, fmt="csv")
+    SP.start_fact_stream(stream, *_dims(spark), f"{tmp_dir}/fct", f"{tmp_dir}/cp").awaitTermination()
+    got = sorted((r.transaction_id, float(r.amount)) for r in INC.read_table(spark, f"{tmp_dir}/fct").collect())
+    assert got == sorted((f"T{i}", float(i) + 0.5) for i in range(12))
