@@ -100,3 +100,14 @@ def test_incremental_run_refreshes_summary_and_clears_emptied_days(spark, tmp_di
     summary = spark.read.parquet(f"{tmp_dir}/marts/fct_fraud_summary")
     got = sorted((str(r.transaction_date), r.total_transactions) for r in summary.collect())
     assert got == [("2024-12-26", 1), ("2024-12-29", 1), ("2024-12-30", 1)]
+
+
+def test_rows_without_a_day_are_merged_too(spark, tmp_dir):
+    a = spark.createDataFrame([("K1", None, 1), ("K2", "2024-12-30", 2)], "transaction_id string, transaction_date string, v int") \
+        .selectExpr("transaction_id", "cast(transaction_date as date) as transaction_date", "v",
+                    "'C' as customer_id", "false as is_fraudulent")
+    INC.upsert(spark, a, tmp_dir)
+    b = a.where("transaction_id = 'K1'").selectExpr("transaction_id", "transaction_date", "10 as v", "customer_id", "is_fraudulent")
+    INC.upsert(spark, b, tmp_dir)
+    got = sorted((r.transaction_id, r.v) for r in INC.read_table(spark, tmp_dir).collect())
+    assert got == [("K1", 10), ("K2", 2)]
