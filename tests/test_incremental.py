@@ -111,3 +111,20 @@ def test_rows_without_a_day_are_merged_too(spark, tmp_dir):
     INC.upsert(spark, b, tmp_dir)
     got = sorted((r.transaction_id, r.v) for r in INC.read_table(spark, tmp_dir).collect())
     assert got == [("K1", 10), ("K2", 2)]
+
+
+def test_full_rebuild_replaces_every_day(spark, tmp_dir):
+    from fraudlens.plans import runs
+    dims = dict(customers=[customer("CUST_1")], merchants=[merchant("MERCH_1")], cards=[card("CARD_1")])
+    runs.write_raw_parquet(spark, raw_sources(spark, [txn("A", date="2024-12-20"), txn("B", date="2024-12-21")],
+                                              **dims), f"{tmp_dir}/raw")
+    runs.build_all(spark, f"{tmp_dir}/raw", f"{tmp_dir}/marts", as_of="2024-12-31")
+    runs.write_raw_parquet(spark, raw_sources(spark, [txn("A", date="2024-12-20"), txn("B", date="2024-12-22")],
+                                              **dims), f"{tmp_dir}/raw")
+    runs.build_all(spark, f"{tmp_dir}/raw", f"{tmp_dir}/marts", as_of="2024-12-31")
+    fct = INC.read_table(spark, f"{tmp_dir}/marts/fct_transactions")
+    assert sorted((r.transaction_id, str(r.transaction_date)) for r in fct.collect()) == [
+        ("A", "2024-12-20"), ("B", "2024-12-22")]
+    days = sorted(str(r[0]) for r in spark.read.parquet(f"{tmp_dir}/marts/fct_fraud_summary")
+                  .select("transaction_date").distinct().collect())
+    assert days == ["2024-12-20", "2024-12-22"]
