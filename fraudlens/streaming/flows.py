@@ -64,7 +64,7 @@ def _handoff(spark: SparkSession, batch: DataFrame, epoch_id: int, process) -> N
     try:
         process(spark.read.parquet(path))
     finally:
-        INC._delete_paths(spark, [path])
+        INC._delete_paths(spark, [path], required=False)
 
 
 def read_transactions_stream(
