@@ -15,10 +15,13 @@ late-data window as the batch lookback:
   re-delivery dedup state may already be evicted).  The upsert is
   idempotent, so a micro-batch replayed after a failure leaves the same
   table (exactly-once effect with the checkpointed source offsets).
-* I6 ``start_summary_stream``: 1-day event-time windows × the other nine
-  summary keys, ``update`` output mode; each micro-batch's updated groups
-  replace their rows in the summary table (NULL-safe composite key), so the
-  table always holds the running totals.  State older than the watermark
+* I6 ``start_summary_stream``: exact re-deliveries dropped, then 1-day
+  event-time windows × the other nine summary keys, ``update`` output mode;
+  each micro-batch's updated groups replace their rows in the summary table
+  (NULL-safe composite key), so the table always holds the running totals.
+  When corrected versions of transactions arrive on the stream, use
+  ``start_fact_stream(..., summary_path=...)`` instead: it recomputes the
+  touched summary days from the upserted fact, counting each key once.  State older than the watermark
   is evicted; for very large key spaces use the RocksDB state store
   (``spark.sql.streaming.stateStore.providerClass``).
 
@@ -92,14 +95,20 @@ def staged_stream(raw_stream: DataFrame, watermark: str = WATERMARK) -> DataFram
 def start_fact_stream(
     raw_stream: DataFrame, stg_cards: DataFrame, stg_customers: DataFrame, stg_merchants: DataFrame,
     target_path: str, checkpoint_location: str, available_now: bool = True,
-    trigger_interval: str = "1 minute",
+    trigger_interval: str = "1 minute", summary_path: str | None = None,
 ) -> StreamingQuery:
+    """I5; with ``summary_path`` the touched days of the summary are also
+    recomputed from the fact after every micro-batch, so the summary counts
+    each transaction once in its latest version (exact under corrections)."""
     spark = stg_cards.sparkSession          # the application's session (AQE on)
 
     def upsert_batch(batch: DataFrame) -> None:
         fct = M.fct_transactions(
             I.int_transactions_enriched(batch, stg_cards, stg_customers, stg_merchants), audit=False)
-        INC.upsert(spark, fct, target_path)
+        stats = INC.upsert(spark, fct, target_path)
+        if summary_path is not None:
+            from fraudlens.plans.runs import refresh_summary
+            refresh_summary(spark, target_path, summary_path, stats, audit=False)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         _handoff(spark, batch, epoch_id, upsert_batch)
@@ -110,17 +119,21 @@ def start_fact_stream(
     return writer.start()
 
 
-def summary_stream(enriched_stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Running fraud summary per 1-day event-time window and the nine other keys."""
+def summary_stream(enriched_stream: DataFrame, watermark: str | None = WATERMARK) -> DataFrame:
+    """Running fraud summary per 1-day event-time window and the nine other keys.
+
+    ``watermark=None`` keeps a watermark already defined upstream."""
     is_fraud = F.col("is_fraudulent") == F.lit(True)
     fraud_n = C.count_if(is_fraud)
     n = F.count(F.lit(1))
     fraud_volume = C.sum_if(F.col("is_fraudulent"), "amount")
     volume = F.sum("amount")
     other_keys = [k for k in M.SUMMARY_KEYS if k != "transaction_date"]
+    completed = enriched_stream.where(F.col("status") == "COMPLETED")
+    if watermark is not None:
+        completed = completed.withWatermark("transaction_ts", watermark)
     agg = (
-        enriched_stream.where(F.col("status") == "COMPLETED")
-        .withWatermark("transaction_ts", watermark)
+        completed
         .groupBy(F.window("transaction_ts", "1 day").alias("day_window"), *other_keys)
         .agg(
             n.alias("total_transactions"),
@@ -149,8 +162,10 @@ def start_summary_stream(
     trigger_interval: str = "1 minute",
 ) -> StreamingQuery:
     spark = stg_cards.sparkSession          # the application's session (AQE on)
-    enriched = I.int_transactions_enriched(
-        S.stg_transactions(raw_stream, audit=False), stg_cards, stg_customers, stg_merchants)
+    # exact re-deliveries must not be counted twice; a *changed* version of a
+    # transaction would still add to its groups — use start_fact_stream(...,
+    # summary_path=...) when corrections arrive on the stream
+    enriched = I.int_transactions_enriched(staged_stream(raw_stream), stg_cards, stg_customers, stg_merchants)
 
     def upsert_groups(batch: DataFrame) -> None:
         INC.upsert(spark, batch, target_path, key=list(M.SUMMARY_KEYS), cluster_by=("merchant_category",))
@@ -158,7 +173,7 @@ def start_summary_stream(
     def process(batch: DataFrame, epoch_id: int) -> None:
         _handoff(spark, batch, epoch_id, upsert_groups)
 
-    writer = summary_stream(enriched).writeStream.outputMode("update").foreachBatch(process) \
+    writer = summary_stream(enriched, watermark=None).writeStream.outputMode("update").foreachBatch(process) \
         .option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
     return writer.start()

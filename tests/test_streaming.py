@@ -75,3 +75,20 @@ def test_fact_stream_from_csv_landing(spark, tmp_dir):
     SP.start_fact_stream(stream, *_dims(spark), f"{tmp_dir}/fct", f"{tmp_dir}/cp").awaitTermination()
     got = sorted((r.transaction_id, float(r.amount)) for r in INC.read_table(spark, f"{tmp_dir}/fct").collect())
     assert got == sorted((f"T{i}", float(i) + 0.5) for i in range(12))
+
+
+def test_fact_stream_keeps_summary_exact_under_corrections(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    first = [txn("A", date="2024-12-20", amount=5.0), txn("B", date="2024-12-20", amount=7.0)]
+    second = [txn("A", date="2024-12-20", amount=50.0, fraud=True, ftype="stolen_card"),   # correction of A
+              txn("B", date="2024-12-20", amount=7.0)]                                     # re-delivery of B
+    _land(spark, landing, first)
+    _land(spark, landing, second)
+    stream = SP.read_transactions_stream(spark, landing, max_files_per_trigger=1)
+    SP.start_fact_stream(stream, *_dims(spark), f"{tmp_dir}/fct", f"{tmp_dir}/cp",
+                         summary_path=f"{tmp_dir}/summary").awaitTermination()
+    latest = [second[0], first[1]]
+    m = FraudModels(raw_sources(spark, latest, [customer("CUST_1")], [merchant("MERCH_1")], [card("CARD_1")]),
+                    as_of="2024-12-31", audit=False)
+    r = INC.relation_diff(spark.read.parquet(f"{tmp_dir}/summary"), m.fct_fraud_summary).first()
+    assert (r.rows_only_in_left, r.rows_only_in_right) == (0, 0)
