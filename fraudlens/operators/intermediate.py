@@ -171,14 +171,26 @@ def merchant_agg(stg_txn: DataFrame) -> DataFrame:
     )
 
 
-def merchant_p95(agg: DataFrame, p: float = C.P95) -> DataFrame:
-    """One row: exact ``percentile_cont`` of fraud rate and velocity."""
+def merchant_p95(agg: DataFrame, p: float = C.P95, approximate: bool = False,
+                 accuracy: int = 10_000) -> DataFrame:
+    """One row: ``percentile_cont`` of fraud rate and velocity.
+
+    Exact by default.  ``approximate=True`` is the opt-in single-pass sketch
+    (``percentile_approx``, rank error ≤ n/accuracy, no interpolation) for
+    very large merchant populations where exact thresholds are not required.
+    """
+    if approximate:
+        return agg.agg(
+            F.percentile_approx("fraud_rate", p, accuracy).alias("p95_fraud_rate"),
+            F.percentile_approx("avg_daily_txn_velocity", p, accuracy).alias("p95_velocity"),
+        )
     return percentile_cont_frame(agg, ["fraud_rate", "avg_daily_txn_velocity"], p,
                                  alias=["p95_fraud_rate", "p95_velocity"])
 
 
 def int_merchant_risk_score(
-    stg_txn: DataFrame, stg_merchants: DataFrame, p: float = C.P95, checkpoint: bool = True
+    stg_txn: DataFrame, stg_merchants: DataFrame, p: float = C.P95, checkpoint: bool = True,
+    approximate_percentiles: bool = False,
 ) -> DataFrame:
     """Merchants ⟕ per-merchant aggregate, flagged against exact 95th percentiles.
 
@@ -189,7 +201,7 @@ def int_merchant_risk_score(
     agg = merchant_agg(stg_txn)
     if checkpoint:
         agg = materialize(agg)
-    p95 = merchant_p95(agg, p).select(F.struct("p95_fraud_rate", "p95_velocity")).scalar()
+    p95 = merchant_p95(agg, p, approximate_percentiles).select(F.struct("p95_fraud_rate", "p95_velocity")).scalar()
     p95_rate, p95_velocity = p95.getField("p95_fraud_rate"), p95.getField("p95_velocity")
     m = stg_merchants.select(
         "merchant_id", "merchant_name", "category_code", "country",

@@ -35,3 +35,14 @@ def test_several_columns_in_one_pass(spark):
         ref = df.agg(F.percentile(col, 0.95)).first()[0]
         assert abs(got[name] - ref) < 1e-12
     assert got["pc"] is None
+
+
+def test_approximate_opt_in_is_close(spark):
+    from fraudlens.operators.intermediate import merchant_p95
+    rng = random.Random(3)
+    agg = spark.createDataFrame([(rng.random() / 10, rng.random() * 50) for _ in range(4000)],
+                                "fraud_rate double, avg_daily_txn_velocity double")
+    exact = merchant_p95(agg).first()
+    approx = merchant_p95(agg, approximate=True, accuracy=10_000).first()
+    assert abs(exact.p95_fraud_rate - approx.p95_fraud_rate) < 0.002
+    assert abs(exact.p95_velocity - approx.p95_velocity) < 0.5
