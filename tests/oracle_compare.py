@@ -94,7 +94,7 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = build_session(master="local[8]", shuffle_partitions=8)
+    spark = build_session(master="local[8]", shuffle_partitions=8, extra_conf={"spark.driver.memory": "8g"})
     con = duck_connection(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
