@@ -64,28 +64,35 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset.
+    """Return the shared checkpoint folder, setting a local one only on a local master.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant
-    folder (HDFS/S3/ABFS).  Only when nothing is configured (local runs and
-    tests) do we fall back to a fresh folder under the system temp dir.
+    Order: a folder the application set with ``setCheckpointDir`` (kept as it
+    is), then ``spark.checkpoint.dir``, which on a cluster names a shared,
+    fault-tolerant folder (HDFS/S3/ABFS).  With neither set, a local run gets a
+    fresh temporary folder; any other master raises, because a machine-local
+    folder there would lose data with the machine.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server owns the checkpoint folder
-        return current or ""
-    if not current:
-        current = tempfile.mkdtemp(prefix="fraudlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    sc.setCheckpointDir(current)
-    return current
+        return conf_dir or ""
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="fraudlens-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", conf_dir)
+    sc.setCheckpointDir(conf_dir)
+    return sc.getCheckpointDir() or conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path inside the shared checkpoint folder for staged writes."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name) if "://" not in base else f"{base.rstrip('/')}/{name}"
+    return f"{base.rstrip('/')}/{name}"
 
 
 def materialize(df):
