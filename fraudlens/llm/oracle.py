@@ -1,6 +1,28 @@
 """DuckDB SQL for the rows of the corpus queries that SQL can express."""
 
+# ---- benchmark decontamination: every window of every item against every window of every document
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_OP2 = rf"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+item AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+win AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + 9], ' ') AS g, least(10, len(w)) AS k
+  FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM item WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM win),
+spot AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM d, sizes WHERE len(w) >= k)),
+hit AS (SELECT DISTINCT doc_id, i, spot.k, item_id FROM spot JOIN win USING (g)),
+word AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hit) GROUP BY 1)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(word.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+       sha256(coalesce(items.ids, '')) AS items_sha256, word.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN word USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 ORACLE = {
+    "op2_decontamination": _OP2,
     "op9_exact_dedup": """
 SELECT d.doc_id, g.keep_id, g.n AS group_size, d.doc_id = g.keep_id AS kept, sha256(coalesce(d.text, '')) AS text_sha256
 FROM documents d

@@ -8,15 +8,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fraudlens.llm import exact_dedup, url_filter
+from fraudlens.llm import bpe, decontaminate, exact_dedup, url_filter, warc
 from fraudlens.llm.common import table
 from fraudlens.llm.oracle import ORACLE
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    spec = bpe.tokenizer_spec(spark, tokenizer or public_tokenizers.path("byte_bpe_50k.json"))
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), spec), spec)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(manifest, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -26,7 +47,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op9_exact_dedup, op10_url_filters)}
+    return {f.__name__: f for f in (op2_decontamination, op3_bpe, op5_warc, op9_exact_dedup, op10_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
