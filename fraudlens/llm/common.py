@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,17 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver did.
+
+    On a cluster the package is installed on the executors or shipped with
+    ``--py-files``; a folder that does not exist there is ignored.
+    """
+    root, env = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -35,5 +47,5 @@ def ascii_lower(col: Column) -> Column:
             .otherwise(F.translate(col, ASCII_UPPER, ASCII_LOWER)))
 
 
-__all__ = ["ASCII_LOWER", "ASCII_UPPER", "ascii_lower", "ensure_checkpoint_dir", "materialize",
-           "scratch_path", "staged", "table"]
+__all__ = ["ASCII_LOWER", "ASCII_UPPER", "ascii_lower", "ensure_checkpoint_dir", "importable",
+           "materialize", "scratch_path", "staged", "table"]

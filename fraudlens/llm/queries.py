@@ -6,14 +6,15 @@ whole table and derives the digest columns its contract asks for.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.llm import bpe, decontaminate, exact_dedup, url_filter, warc
-from fraudlens.llm.common import table
+from fraudlens.llm import bpe, decontaminate, exact_dedup, quality, url_filter, warc
+from fraudlens.llm.common import importable, table
 from fraudlens.llm.oracle import ORACLE
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -46,8 +47,22 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents")).select("doc_id", "votes", "score", "keep")
+
+
+def _ready(fn: QueryFn) -> QueryFn:
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return fn(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op2_decontamination, op3_bpe, op5_warc, op9_exact_dedup, op10_url_filters)}
+    return {f.__name__: _ready(f) for f in (
+        op2_decontamination, op3_bpe, op5_warc, op6_quality_classifier, op9_exact_dedup, op10_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
