@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.llm import bpe, decontaminate, exact_dedup, quality, url_filter, warc
+from fraudlens.llm import bpe, decontaminate, exact_dedup, html, pii, quality, url_filter, warc
 from fraudlens.llm.common import importable, table
 from fraudlens.llm.oracle import ORACLE
 
@@ -39,6 +39,19 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(manifest, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    kinds = F.transform("spans", lambda x: x["kind"])
+    counts = [F.size(F.filter(kinds, F.lit(k).__eq__)).cast("bigint").alias(f"n_{k}") for k in pii.PATTERNS]
+    base = F.filter("spans", lambda x: x["kind"] != "term")
+    return found.select("doc_id", *counts, F.sha2(pii.span_text(base), 256).alias("base_sha256"),
+                        pii.span_text(F.col("spans")).alias("spans"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -62,7 +75,8 @@ def _ready(fn: QueryFn) -> QueryFn:
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: _ready(f) for f in (
-        op2_decontamination, op3_bpe, op5_warc, op6_quality_classifier, op9_exact_dedup, op10_url_filters)}
+        op2_decontamination, op3_bpe, op5_warc, op6_quality_classifier, op7_html_extraction, op8_pii,
+        op9_exact_dedup, op10_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
