@@ -21,8 +21,30 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(word.n, 0) AS n_hit, coal
 FROM d LEFT JOIN word USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+# ---- n-gram Jaccard join: overlap of every pair that shares a shingle, then reachability
+_OP4 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+sh AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM d WHERE len(w) > 0)),
+size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+link AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN size sa ON sa.doc_id = a.doc_id JOIN size sb ON sb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, sa.n, sb.n
+  HAVING 100 * count(*) >= 75 * (sa.n + sb.n - count(*))),
+reach AS (SELECT DISTINCT x AS doc_id, x AS other FROM link
+          UNION SELECT reach.doc_id, link.y FROM reach JOIN link ON link.x = reach.other)
+SELECT d.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, least(d.doc_id, coalesce(min(reach.other), d.doc_id)) AS component_id
+FROM d LEFT JOIN size USING (doc_id) LEFT JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
 ORACLE = {
     "op2_decontamination": _OP2,
+    "op4_ngram_join": _OP4,
     "op9_exact_dedup": """
 SELECT d.doc_id, g.keep_id, g.n AS group_size, d.doc_id = g.keep_id AS kept, sha256(coalesce(d.text, '')) AS text_sha256
 FROM documents d

@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.llm import bpe, decontaminate, exact_dedup, html, pii, quality, url_filter, warc
+from fraudlens.llm import bpe, decontaminate, exact_dedup, html, ngram_join, pii, quality, url_filter, warc
 from fraudlens.llm.common import importable, table
 from fraudlens.llm.oracle import ORACLE
 
@@ -33,6 +33,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> D
                           F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.archive_folder(spark)
     manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder)
@@ -75,7 +79,7 @@ def _ready(fn: QueryFn) -> QueryFn:
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: _ready(f) for f in (
-        op2_decontamination, op3_bpe, op5_warc, op6_quality_classifier, op7_html_extraction, op8_pii,
+        op2_decontamination, op3_bpe, op4_ngram_join, op5_warc, op6_quality_classifier, op7_html_extraction, op8_pii,
         op9_exact_dedup, op10_url_filters)}
 
 
