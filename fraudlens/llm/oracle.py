@@ -42,7 +42,36 @@ SELECT d.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, least(d.doc_id, c
 FROM d LEFT JOIN size USING (doc_id) LEFT JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
+# ---- line dedup: similarity of every pair of distinct sets that share one of their rarest words
+_OP1 = r"""
+WITH line AS MATERIALIZED (
+  SELECT doc_id, i AS line_no, ls[i + 1] AS line
+  FROM (SELECT doc_id, ls, unnest(range(0, len(ls))) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
+bag AS MATERIALIZED (
+  SELECT doc_id, line_no, line, list_sort(list_distinct(regexp_extract_all(lower(line), '[^ \t\r\x0b\x0c]+'))) AS s FROM line),
+class AS MATERIALIZED (
+  SELECT s, len(s) AS n, min((doc_id, line_no)) AS head, row_number() OVER () AS id FROM bag WHERE len(s) > 0 GROUP BY s),
+word AS (SELECT w, count(*) AS c FROM (SELECT unnest(s) AS w FROM class) GROUP BY 1),
+front AS MATERIALIZED (
+  SELECT id, n, head, w FROM (SELECT id, n, head, unnest(s) AS w FROM class) JOIN word USING (w)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY c, w) <= n - (75 * n + 99) // 100 + 1),
+pair AS (
+  SELECT DISTINCT a.id AS x, b.id AS y FROM front a JOIN front b ON a.w = b.w AND b.head < a.head
+  AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)),
+late AS (
+  SELECT DISTINCT x FROM pair JOIN class a ON a.id = x JOIN class b ON b.id = y
+  WHERE 175 * len(list_intersect(a.s, b.s)) >= 75 * (a.n + b.n)),
+fate AS (
+  SELECT doc_id, line_no, line, head IS NOT NULL AND (head <> (doc_id, line_no) OR id IN (SELECT x FROM late)) AS gone
+  FROM bag LEFT JOIN class USING (s))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+       coalesce(string_agg(line_no::VARCHAR, ',' ORDER BY line_no) FILTER (gone), '') AS removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), '')) AS text_sha256
+FROM fate GROUP BY doc_id
+"""
+
 ORACLE = {
+    "op1_line_dedup": _OP1,
     "op2_decontamination": _OP2,
     "op4_ngram_join": _OP4,
     "op9_exact_dedup": """

@@ -13,13 +13,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.llm import bpe, decontaminate, exact_dedup, html, ngram_join, pii, quality, url_filter, warc
+from fraudlens.llm import bpe, decontaminate, exact_dedup, html, line_dedup, ngram_join, pii, quality, url_filter, warc
 from fraudlens.llm.common import importable, table
 from fraudlens.llm.oracle import ORACLE
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", F.col("_n_lines").cast("bigint").alias("n_lines"),
+                          F.size("_removed").cast("bigint").alias("n_removed"),
+                          F.array_join(F.col("_removed").cast("array<string>"), ",").alias("removed"),
+                          F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
@@ -79,7 +87,7 @@ def _ready(fn: QueryFn) -> QueryFn:
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: _ready(f) for f in (
-        op2_decontamination, op3_bpe, op4_ngram_join, op5_warc, op6_quality_classifier, op7_html_extraction, op8_pii,
+        op1_line_dedup, op2_decontamination, op3_bpe, op4_ngram_join, op5_warc, op6_quality_classifier, op7_html_extraction, op8_pii,
         op9_exact_dedup, op10_url_filters)}
 
 
