@@ -160,8 +160,9 @@ def dedup_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     are kept and match nothing.  A NULL text stays NULL; an empty one is one blank line.  Rows that
     repeat an id and its text are one document and share its result; rows
     that share an id with other texts are separate, in the order of a hash of their text.
-    NULL ids come first.  A document all of whose lines go keeps an empty text.
+    NULL ids come first.  Input columns with the names of the added ones are replaced.  A document all of whose lines go keeps an empty text.
     """
+    documents = documents.drop("_n_lines", "_removed", "_doc_id", "_row")
     repeats = find_repeats(documents, id_col, text_col, per_cent)
     found = staged(repeats.select(F.col("doc_id").alias("_doc_id"), F.col("row").alias("_row"), F.col("line_nos").alias("_removed")),
                    "line-repeats")
