@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from fraudlens.llm.common import staged
 
@@ -149,60 +150,60 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], junk: np.ndarray, steps: int
 
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
              threshold: float = THRESHOLD) -> DataFrame:
-    """One row per input row: ``doc_id, row, votes, score, keep``.
+    """All columns of ``docs``, row by row, and ``_votes, _score, _keep``.
 
-    ``score`` is the probability of fine text; rows at or above ``threshold`` are kept.
-    ``row`` is a hash of the text, so that rows sharing an id can be told apart.
+    ``_score`` is the probability of fine text; rows at or above ``threshold`` are kept.
     NULL, empty and white texts have no words: score 0, rejected.  Equal
-    texts get equal scores.  With an empty table the result is empty.  Other
-    columns are not read.
+    texts get equal scores.  With an empty table the result is empty.  Input columns
+    with the names of the added ones are replaced.
     """
     spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
+    docs = docs.drop("_votes", "_score", "_keep")
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def vote(batches):
         for b in batches:
-            votes = pa.array([Votes.of(t.as_py()) for t in b.column(2)], pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), votes], names=["doc_id", "row", "votes"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([Votes.of(t.as_py()) for t in b.column(1)], pa.string())],
+                                             names=["h", "votes"])
 
-    voted = staged(rows.mapInArrow(vote, "doc_id bigint, row bigint, votes string"), "votes")
+    # the sample: the smallest hashes of ids, so that any input gives the same share of every kind
+    order = F.xxhash64("id", F.lit(17))
+    voted = staged(rows.select(order.alias("h"), "text").mapInArrow(vote, "h bigint, votes string"), "votes")
     patterns = {r["votes"]: r["n"] for r in voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
     posterior = label_model(patterns)
-
-    # the sample: the smallest hashes of ids, so any input gives the same share of every kind
-    order = F.xxhash64("doc_id", F.lit(17))
-    last = voted.select(order.alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    last = voted.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
 
     def featurise(batches):
         for b in batches:
-            got = [(Votes.of(t), *features(t)) for t in (x.as_py() for x in b.column(2))]
+            got = [(Votes.of(t), *features(t)) for t in (x.as_py() for x in b.column(0))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.list_(pa.int32())),
                  pa.array([g[2] for g in got], pa.list_(pa.float32()))], names=["votes", "at", "value"])
 
     chosen = [] if last is None else (
-        rows.where(order <= F.lit(last)).limit(sample)
+        rows.where(order <= F.lit(last)).limit(sample).select("text")
         .mapInArrow(featurise, "votes string, at array<int>, value array<float>").collect())
     if chosen:
         w, bias = fit([(np.array(r["at"], np.int32), np.array(r["value"], np.float32)) for r in chosen],
                       np.array([posterior[r["votes"]] for r in chosen], np.float32))
     else:
         w, bias = np.zeros(DIMENSIONS, np.float32), 0.0
-    weights = spark.sparkContext.broadcast((w, bias))
+    weights, at_text = spark.sparkContext.broadcast((w, bias)), docs.columns.index(text_col)
 
     def score(batches):
         w, bias = weights.value
         for b in batches:
-            out, votes = [], []
-            for t in (x.as_py() for x in b.column(2)):
+            votes, scores = [], []
+            for t in (x.as_py() or "" for x in b.column(at_text)):
                 at, value = features(t)
                 odds = float(value @ w[at]) + bias
-                out.append(round(1 / (1 + math.exp(min(30.0, max(-30.0, odds)))), 6) if len(at) else 0.0)
+                scores.append(round(1 / (1 + math.exp(min(30.0, max(-30.0, odds)))), 6) if len(at) else 0.0)
                 votes.append(Votes.of(t))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(votes, pa.string()), pa.array(out, pa.float64())],
-                names=["doc_id", "row", "votes", "score"])
+                [*b.columns, pa.array(votes, pa.string()), pa.array(scores, pa.float64()),
+                 pa.array([s >= threshold for s in scores], pa.bool_())],
+                names=[*b.schema.names, "_votes", "_score", "_keep"])
 
-    return (rows.mapInArrow(score, "doc_id bigint, row bigint, votes string, score double")
-            .withColumn("keep", F.col("score") >= F.lit(threshold)))
+    schema = StructType([*docs.schema.fields, StructField("_votes", StringType()), StructField("_score", DoubleType()),
+                         StructField("_keep", BooleanType())])
+    return docs.mapInArrow(score, schema)

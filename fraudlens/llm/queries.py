@@ -9,6 +9,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,7 +74,12 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.classify(table(spark, sf_dir, "documents")).select("doc_id", "votes", "score", "keep")
+    judged = quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", F.col("_votes").alias("votes"), F.col("_score").alias("score"), F.col("_keep").alias("keep"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def _ready(fn: QueryFn) -> QueryFn:
@@ -88,8 +94,8 @@ def _ready(fn: QueryFn) -> QueryFn:
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: _ready(f) for f in (
         op1_line_dedup, op2_decontamination, op3_bpe, op4_ngram_join, op5_warc, op6_quality_classifier, op7_html_extraction, op8_pii,
-        op9_exact_dedup, op10_url_filters)}
+        op9_exact_dedup, op10_url_filters, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return ORACLE | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
