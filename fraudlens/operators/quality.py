@@ -23,6 +23,10 @@ from pyspark.sql import functions as F
 from fraudlens.functions import columns as C
 from fraudlens.operators.lookup import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
 
+# --- fixed values: the texts of the business assertions ----------------------
+FRAUD_RATE_REASON = "Fraud rate exceeds 5% threshold — investigate pipeline or source data"
+FUTURE_REASON = "Transaction timestamp is in the future"
+# ---------------------------------------------------------------------------
 SUMMARY_COLUMNS = ["check_id", "model", "column_name", "test", "failures", "status"]
 
 
@@ -78,7 +82,7 @@ def fraud_rate_above(fct: DataFrame, threshold: float = C.MAX_FRAUD_RATE) -> Dat
         .agg(C.safe_divide(C.count_if(is_fraud), F.count(F.lit(1))).alias("overall_fraud_rate"))
         .where(F.col("overall_fraud_rate") > threshold)
         .select("overall_fraud_rate",
-                F.lit("Fraud rate exceeds 5% threshold — investigate pipeline or source data").alias("failure_reason"))
+                F.lit(FRAUD_RATE_REASON).alias("failure_reason"))
     )
 
 
@@ -86,7 +90,7 @@ def future_transactions(fct: DataFrame, as_of_ts=None) -> DataFrame:
     """Q7: rows stamped after ``as_of_ts`` (default: now)."""
     return fct.where(F.col("transaction_ts") > C.as_timestamp(as_of_ts)).select(
         "transaction_id", "transaction_ts",
-        F.lit("Transaction timestamp is in the future").alias("failure_reason"),
+        F.lit(FUTURE_REASON).alias("failure_reason"),
     )
 
 
@@ -94,7 +98,7 @@ def freshness(
     df: DataFrame, table: str, loaded_at_field: str, as_of_ts=None,
     warn_hours: float = C.FRESHNESS_WARN_H, error_hours: float = C.FRESHNESS_ERROR_H,
 ) -> DataFrame:
-    """Q8/S9: one row with the newest ``loaded_at_field`` and pass/warn/error."""
+    """Q8/S9: one row with the newest ``loaded_at_field`` and pass/warn/error; a source without rows is an error."""
     now = C.as_timestamp(as_of_ts)
     latest = F.max(F.col(loaded_at_field).cast("timestamp"))
     hours = (F.unix_timestamp(now) - F.unix_timestamp(latest)) / F.lit(3600.0)
@@ -103,7 +107,7 @@ def freshness(
         F.col("max_loaded_at"),
         now.alias("checked_at"),
         C.round_rate("h", 3).alias("hours_since_load"),
-        F.when(F.col("h") > error_hours, "error").when(F.col("h") > warn_hours, "warn")
+        F.when(F.col("h").isNull() | (F.col("h") > error_hours), "error").when(F.col("h") > warn_hours, "warn")
         .otherwise("pass").alias("freshness_status"),
     )
 
@@ -182,6 +186,28 @@ def run_checks(
     return _with_status(out).select(*SUMMARY_COLUMNS)
 
 
+def run_all_checks(tables: dict[str, DataFrame], as_of_ts=None) -> DataFrame:
+    """The declared checks, then fraud rate (Q6), future rows (Q7) and freshness of the raw transactions (Q8).
+
+    A freshness of ``warn`` keeps its status with 0 failures; ``error`` counts as one.
+    """
+    fct, n = tables["fct_transactions"], F.count(F.lit(1))
+    singular = [
+        ("fraud_rate", "fct_transactions", "is_fraudulent", fraud_rate_above(fct).agg(n.alias("n"))),
+        ("future_transactions", "fct_transactions", "transaction_ts", future_transactions(fct, as_of_ts).agg(n.alias("n"))),
+    ]
+    out = run_checks(tables, DECLARED_CHECKS)
+    for test, model, column, failures in singular:
+        rows = failures.select(*_summary(f"{test}:{model}.{column}", model, column, test, F.col("n")))
+        out = out.unionByName(_with_status(rows).select(*SUMMARY_COLUMNS))
+    fresh = freshness(tables["raw_transactions"], "transactions", "transaction_ts", as_of_ts)
+    status = F.col("freshness_status")
+    rows = fresh.select(*_summary("freshness:raw_transactions.transaction_ts", "raw_transactions", "transaction_ts",
+                                  "freshness", (status == "error").cast("bigint")),
+                        F.when(status == "error", "fail").otherwise(status).alias("status"))
+    return out.unionByName(rows.select(*SUMMARY_COLUMNS))
+
+
 # ------------------------------------------------------------ the declared checks
 STATUS = tuple(C.STATUSES)
 _checks: list[Check] = []

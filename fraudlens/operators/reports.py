@@ -35,7 +35,7 @@ def daily_totals(summary: DataFrame) -> DataFrame:
         F.sum("fraud_volume").alias("fraud_volume"),
     )
     zero = F.lit(0).cast("bigint")
-    return date_spine(summary).join(daily, "transaction_date", "left").select(
+    return date_spine(daily).join(daily, "transaction_date", "left").select(
         "transaction_date",
         F.coalesce("total_transactions", zero).alias("total_transactions"),
         F.coalesce("fraud_count", zero).alias("fraud_count"),

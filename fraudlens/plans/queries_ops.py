@@ -100,14 +100,14 @@ _register_checks("q5_accepted_range", Q.checks_of("accepted_range"))
 
 @register("q6_fraud_rate_threshold", q(
     f"SELECT * FROM (SELECT {sdiv(cif('is_fraudulent = true'), 'count(*)')} AS overall_fraud_rate, "
-    "'Fraud rate exceeds 5% threshold — investigate pipeline or source data' AS failure_reason "
+    f"'{Q.FRAUD_RATE_REASON}' AS failure_reason "
     "FROM fct WHERE status = 'COMPLETED') WHERE overall_fraud_rate > 0.05"))
 def q6_fraud_rate_threshold(spark, sf_dir):
     return Q.fraud_rate_above(models(spark, sf_dir).fct_transactions)
 
 
 @register("q7_future_transactions", q(
-    "SELECT transaction_id, transaction_ts, 'Transaction timestamp is in the future' AS failure_reason "
+    f"SELECT transaction_id, transaction_ts, '{Q.FUTURE_REASON}' AS failure_reason "
     f"FROM fct WHERE transaction_ts > TIMESTAMP '{FUTURE_AT}'"))
 def q7_future_transactions(spark, sf_dir):
     return Q.future_transactions(models(spark, sf_dir).fct_transactions, FUTURE_AT)
@@ -119,13 +119,35 @@ _FRESH_H = f"(date_diff('second', max(CAST(transaction_ts AS TIMESTAMP)), TIMEST
 @register("q8_source_freshness", q(
     f"SELECT 'transactions' AS source_table, max(CAST(transaction_ts AS TIMESTAMP)) AS max_loaded_at, "
     f"TIMESTAMP '{FRESHNESS_AT}' AS checked_at, {rrate(_FRESH_H, 3)} AS hours_since_load, "
-    f"CASE WHEN {_FRESH_H} > 48 THEN 'error' WHEN {_FRESH_H} > 24 THEN 'warn' ELSE 'pass' END AS freshness_status "
+    f"CASE WHEN {_FRESH_H} IS NULL OR {_FRESH_H} > 48 THEN 'error' WHEN {_FRESH_H} > 24 THEN 'warn' ELSE 'pass' END AS freshness_status "
     "FROM raw_transactions"))
 def q8_source_freshness(spark, sf_dir):
     raw = models(spark, sf_dir).raw["transactions"]
     return Q.freshness(raw, "transactions", "transaction_ts", FRESHNESS_AT)
 
 
+def _singular_sql() -> str:
+    def row(test, model, column, n, status):
+        return (f"SELECT '{test}:{model}.{column}' AS check_id, '{model}' AS model, '{column}' AS column_name, "
+                f"'{test}' AS test, CAST({n} AS BIGINT) AS failures, {status} AS status")
+
+    rate = f"(SELECT {sdiv(cif('is_fraudulent = true'), 'count(*)')} FROM fct WHERE status = 'COMPLETED')"
+    high = f"coalesce(CAST({rate} > 0.05 AS INTEGER), 0)"
+    ahead = f"(SELECT count(*) FROM fct WHERE transaction_ts > TIMESTAMP '{FRESHNESS_AT}')"
+    hours = f"(SELECT {_FRESH_H} FROM raw_transactions)"
+    stale = f"CAST({hours} IS NULL OR {hours} > 48 AS INTEGER)"
+    return "\nUNION ALL\n".join([
+        row("fraud_rate", "fct_transactions", "is_fraudulent", high, f"if({high} = 0, 'pass', 'fail')"),
+        row("future_transactions", "fct_transactions", "transaction_ts", ahead, f"if({ahead} = 0, 'pass', 'fail')"),
+        row("freshness", "raw_transactions", "transaction_ts", stale,
+            f"CASE WHEN {stale} = 1 THEN 'fail' WHEN {hours} > 24 THEN 'warn' ELSE 'pass' END")])
+
+
+@register("q9_all_checks", q("\nUNION ALL\n".join([*map(_check_sql, Q.DECLARED_CHECKS), _singular_sql()])))
+def q9_all_checks(spark, sf_dir):
+    return Q.run_all_checks(_tables(models(spark, sf_dir)), FRESHNESS_AT)
+
+
 # --------------------------------------------------------------------- reports
 _DAILY = """
 spine AS (

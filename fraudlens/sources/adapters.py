@@ -4,8 +4,8 @@ The shared tables are orders/lineitem shaped; payments, cards and fraud
 labels are derived from them by integer arithmetic that any SQL engine
 computes identically, so the same derivation can be written as plain SQL for
 an independent oracle.  Deliberate dirt (padding, mixed case, blank codes,
-dangling keys, a duplicate id at the smallest scale) exercises the cleaning
-rules of the staging layer.
+dangling card ids, merchants and customers without transactions) exercises the
+cleaning rules of the staging layer; no row of the tables is left out.
 
 Scale notes: ``nation`` is the fixed 25-row TPC-H table, so broadcasting it
 is bounded by definition.  ``customer`` and ``supplier`` grow with the scale
@@ -101,12 +101,11 @@ def adapt_merchants(supplier: DataFrame, nation: DataFrame) -> DataFrame:
 
 
 def adapt_cards(customer: DataFrame) -> DataFrame:
-    """Two cards per customer (slot 0/1); every id ending in 07 is missing."""
+    """Two cards per customer (slot 0/1)."""
     card_id = F.col("c_custkey") * 2 + F.col("slot")
     expiry = F.date_add(F.lit("2000-01-01").cast("date"), ((card_id * 37) % 1000).cast("int"))
     return (
         customer.select("c_custkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("slot"))
-        .where(card_id % 100 != 7)
         .select(
             card_id.alias("card_id"),
             F.col("c_custkey").alias("customer_id"),
@@ -127,10 +126,12 @@ def adapt_transactions(
     supplier: DataFrame,
     nation: DataFrame,
 ) -> DataFrame:
-    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice").where(
-        F.col("l_suppkey") % 10 != 9
-    )
-    od = orders.select("o_orderkey", "o_custkey", "o_orderdate").where(F.col("o_custkey") % 50 != 49)
+    # every row stays; some merchants and customers hand theirs to their predecessor and have none
+    supp_of, cust_of = F.col("l_suppkey"), F.col("o_custkey")
+    li = lineitem.select(
+        "l_orderkey", "l_partkey", F.when(supp_of % 10 == 9, supp_of - 1).otherwise(supp_of).alias("l_suppkey"),
+        supp_of.alias("line_suppkey"), "l_linenumber", F.col("l_extendedprice").cast("decimal(12,2)").alias("price"))
+    od = orders.select("o_orderkey", F.when(cust_of % 50 == 49, cust_of - 1).otherwise(cust_of).alias("o_custkey"), "o_orderdate")
     cn = nation.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"),
                        F.col("n_regionkey").alias("cn_region"))
     sn = nation.select(F.col("n_nationkey").alias("sn_key"), F.col("n_regionkey").alias("sn_region"))
@@ -148,13 +149,14 @@ def adapt_transactions(
     hour = (ok * 7 + ln * 5 + pk) % 24
     multiplier = _pick([Decimal(m) for m in AMOUNT_MULTIPLIERS], ln % 4)
     day = F.col("o_orderdate").cast("date")
+    card = F.col("o_custkey") * 2 + ln % 2
     return joined.select(
-        F.concat_ws("-", ok.cast("string"), ln.cast("string"), pk.cast("string"),
-                    F.col("l_suppkey").cast("string")).alias("transaction_id"),
-        (F.col("o_custkey") * 2 + ln % 2).alias("card_id"),
+        F.concat_ws("-", ok.cast("string"), ln.cast("string"), pk.cast("string"), F.col("line_suppkey").cast("string"),
+                    (F.col("price") * 100).cast("bigint").cast("string")).alias("transaction_id"),
+        F.when(card % 100 == 7, -card).otherwise(card).alias("card_id"),      # negative ids have no card
         F.col("o_custkey").alias("customer_id"),
         F.col("l_suppkey").alias("merchant_id"),
-        (F.col("l_extendedprice").cast("decimal(12,2)") * multiplier).cast("decimal(18,9)").alias("amount"),
+        (F.col("price") * multiplier).cast("decimal(18,9)").alias("amount"),
         F.concat(F.lit(" "), F.lower(F.substring("cn_name", 1, 3))).alias("currency"),
         F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "),
                  F.lpad(hour.cast("string"), 2, "0"), F.lit(":00:00")).alias("transaction_ts"),

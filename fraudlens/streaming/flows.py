@@ -1,38 +1,25 @@
 """Structured Streaming forms of the incremental fact (I5) and daily summary (I6).
 
-Both read raw transaction files as a stream (explicit schema, no inference),
-stage them, and bound state with a 3-day event-time watermark — the same
-late-data window as the batch lookback:
-
-* I5 ``start_fact_stream``: exact re-deliveries (whole identical rows) are
-  dropped with ``dropDuplicatesWithinWatermark`` (state bounded by the
-  watermark); each micro-batch is then enriched against the static
-  dimensions and upserted into the day-partitioned fact (``foreachBatch``).
-  A *changed* version of a transaction in a later micro-batch replaces the
-  stored row, as MERGE does; two different versions of one key inside one
-  micro-batch are rejected like a batch with a repeated key.  Rows later
-  than the watermark are still merged by key (no data is lost; only their
-  re-delivery dedup state may already be evicted).  The upsert is
-  idempotent, so a micro-batch replayed after a failure leaves the same
-  table (exactly-once effect with the checkpointed source offsets).
-* I6 ``start_summary_stream``: exact re-deliveries dropped, then 1-day
-  event-time windows × the other nine summary keys, ``update`` output mode;
-  each micro-batch's updated groups replace their rows in the summary table
-  (NULL-safe composite key), so the table always holds the running totals.
-  When corrected versions of transactions arrive on the stream, use
-  ``start_fact_stream(..., summary_path=...)`` instead: it recomputes the
-  touched summary days from the upserted fact, counting each key once.  State older than the watermark
-  is evicted; for very large key spaces use the RocksDB state store
-  (``spark.sql.streaming.stateStore.providerClass``).
-
-Micro-batch hand-off: a stream with a stateful operator runs its batches in
-a session clone with adaptive execution switched off (the state partition
-count must stay fixed), and writing day partitions there without AQE is an
-order of magnitude slower.  Each non-empty micro-batch is therefore written
-once to a staging folder in the shared checkpoint area (a narrow write) and
-read back through the application's own session, where the enrichment and
-the upsert run with AQE; the staged copy is removed afterwards.  Empty
-"no-data" batches (watermark advancement only) are skipped.
+Both read raw transaction files as a stream (explicit schema, no inference) and
+upsert each micro-batch into the day-partitioned fact by key (``foreachBatch``).
+The table itself is the state: there is no watermark, so no row is ever too late.
+
+* I5 ``start_fact_stream``: exact re-deliveries (whole identical rows) inside a
+  micro-batch are dropped; a re-delivery in a later one replaces the stored row
+  by itself, and a *changed* version of a transaction replaces it, as MERGE does.
+  Two different versions of one key inside one micro-batch are rejected like a
+  batch with a repeated key.  Rows of any age are merged into their day.  The
+  upsert is idempotent, so a micro-batch replayed after a failure leaves the
+  same table (exactly-once effect with the checkpointed source offsets).
+* I6 ``start_summary_stream``: the same stream, keeping the fact beside the
+  summary; after each micro-batch the touched days of the summary are recomputed
+  from the fact, so every transaction counts once in its latest version.
+
+Micro-batch hand-off: a micro-batch belongs to the stream's session clone.  Each
+non-empty one is written once to a staging folder in the shared checkpoint area
+(a narrow write) and read back through the application's own session, where the
+enrichment and the upsert run with adaptive execution; the staged copy is removed
+afterwards.
 
 Checkpoint locations must live in shared, durable storage (by default a
 folder under ``spark.checkpoint.dir``).
@@ -43,11 +30,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from fraudlens.functions import columns as C
 from fraudlens.operators import intermediate as I
 from fraudlens.operators import marts as M
 from fraudlens.operators import staging as S
@@ -55,8 +40,6 @@ from fraudlens.plans import incremental as INC
 from fraudlens.session import scratch_path
 from fraudlens.sources.schemas import transactions_schema
 
-WATERMARK = f"{C.LOOKBACK_DAYS} days"
-
 
 def _handoff(spark: SparkSession, batch: DataFrame, epoch_id: int, process) -> None:
     """Stage a micro-batch and process it through ``spark`` (AQE on)."""
@@ -83,15 +66,6 @@ def read_transactions_stream(
     return reader.load(path)
 
 
-def staged_stream(raw_stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Stage, watermark on event time, drop exact re-deliveries within the watermark."""
-    return (
-        S.stg_transactions(raw_stream, audit=False)
-        .withWatermark("transaction_ts", watermark)
-        .dropDuplicatesWithinWatermark()
-    )
-
-
 def start_fact_stream(
     raw_stream: DataFrame, stg_cards: DataFrame, stg_customers: DataFrame, stg_merchants: DataFrame,
     target_path: str, checkpoint_location: str, available_now: bool = True,
@@ -102,7 +76,8 @@ def start_fact_stream(
     each transaction once in its latest version (exact under corrections)."""
     spark = stg_cards.sparkSession          # the application's session (AQE on)
 
-    def upsert_batch(batch: DataFrame) -> None:
+    def upsert_batch(raw_batch: DataFrame) -> None:
+        batch = S.stg_transactions(raw_batch, audit=False).dropDuplicates()
         fct = M.fct_transactions(
             I.int_transactions_enriched(batch, stg_cards, stg_customers, stg_merchants), audit=False)
         stats = INC.upsert(spark, fct, target_path)
@@ -113,67 +88,19 @@ def start_fact_stream(
     def process(batch: DataFrame, epoch_id: int) -> None:
         _handoff(spark, batch, epoch_id, upsert_batch)
 
-    writer = staged_stream(raw_stream).writeStream.foreachBatch(process) \
+    writer = raw_stream.writeStream.foreachBatch(process) \
         .option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
     return writer.start()
 
 
-def summary_stream(enriched_stream: DataFrame, watermark: str | None = WATERMARK) -> DataFrame:
-    """Running fraud summary per 1-day event-time window and the nine other keys.
-
-    ``watermark=None`` keeps a watermark already defined upstream."""
-    is_fraud = F.col("is_fraudulent") == F.lit(True)
-    fraud_n = C.count_if(is_fraud)
-    n = F.count(F.lit(1))
-    fraud_volume = C.sum_if(F.col("is_fraudulent"), "amount")
-    volume = F.sum("amount")
-    other_keys = [k for k in M.SUMMARY_KEYS if k != "transaction_date"]
-    completed = enriched_stream.where(F.col("status") == "COMPLETED")
-    if watermark is not None:
-        completed = completed.withWatermark("transaction_ts", watermark)
-    agg = (
-        completed
-        .groupBy(F.window("transaction_ts", "1 day").alias("day_window"), *other_keys)
-        .agg(
-            n.alias("total_transactions"),
-            volume.alias("total_volume"),
-            F.avg("amount").alias("avg_txn_amount"),
-            fraud_n.alias("fraud_count"),
-            fraud_volume.alias("fraud_volume"),
-            C.safe_divide(fraud_n, n).alias("fraud_rate"),
-            C.safe_divide(fraud_volume, volume).alias("fraud_volume_rate"),
-            C.count_if(F.col("card_anomaly_flag") == F.lit(True)).alias("card_anomaly_count"),
-            C.count_if(F.col("high_risk_merchant_flag") == F.lit(True)).alias("high_risk_merchant_txn_count"),
-            C.count_if(F.col("composite_risk_score") >= 3).alias("high_composite_risk_count"),
-        )
-    )
-    return agg.select(
-        F.to_date(F.col("day_window.start")).alias("transaction_date"), *other_keys,
-        "total_transactions", "total_volume", "avg_txn_amount", "fraud_count", "fraud_volume",
-        "fraud_rate", "fraud_volume_rate", "card_anomaly_count", "high_risk_merchant_txn_count",
-        "high_composite_risk_count",
-    )
-
-
 def start_summary_stream(
     raw_stream: DataFrame, stg_cards: DataFrame, stg_customers: DataFrame, stg_merchants: DataFrame,
     target_path: str, checkpoint_location: str, available_now: bool = True,
-    trigger_interval: str = "1 minute",
+    trigger_interval: str = "1 minute", fact_path: str | None = None,
 ) -> StreamingQuery:
-    spark = stg_cards.sparkSession          # the application's session (AQE on)
-    # exact re-deliveries must not be counted twice; a *changed* version of a
-    # transaction would still add to its groups — use start_fact_stream(...,
-    # summary_path=...) when corrections arrive on the stream
-    enriched = I.int_transactions_enriched(staged_stream(raw_stream), stg_cards, stg_customers, stg_merchants)
-
-    def upsert_groups(batch: DataFrame) -> None:
-        INC.upsert(spark, batch, target_path, key=list(M.SUMMARY_KEYS), cluster_by=("merchant_category",))
-
-    def process(batch: DataFrame, epoch_id: int) -> None:
-        _handoff(spark, batch, epoch_id, upsert_groups)
-
-    writer = summary_stream(enriched, watermark=None).writeStream.outputMode("update").foreachBatch(process) \
-        .option("checkpointLocation", checkpoint_location)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
-    return writer.start()
+    """I6: the summary at ``target_path``, recomputed for the days each micro-batch touches from
+    the fact at ``fact_path`` (default: a folder beside it)."""
+    return start_fact_stream(
+        raw_stream, stg_cards, stg_customers, stg_merchants, fact_path or f"{target_path.rstrip('/')}_fact",
+        checkpoint_location, available_now, trigger_interval, summary_path=target_path)

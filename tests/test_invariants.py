@@ -21,7 +21,7 @@ def test_dimension_row_counts_equal_staging(spark):
     m = models(spark, SF)
     assert m.dim_customers.count() == m.stg_customers.count() == 150
     assert m.dim_merchants.count() == m.stg_merchants.count() == 10
-    assert m.fct_transactions.count() == m.stg_transactions.count() == 5293
+    assert m.fct_transactions.count() == m.stg_transactions.count() == 6000
 
 
 def test_scale_conf_sizes_partitions_to_the_data():

@@ -1,4 +1,4 @@
-"""Streaming forms: micro-batches, watermark lateness, dedup, batch equivalence."""
+"""Streaming forms: micro-batches, late rows, dedup, batch equivalence."""
 
 import time
 
@@ -44,7 +44,7 @@ def test_summary_stream_equals_batch_summary(spark, tmp_dir):
     SP.start_summary_stream(stream, *_dims(spark), f"{tmp_dir}/summary", f"{tmp_dir}/cp").awaitTermination()
     m = FraudModels(raw_sources(spark, rows, [customer("CUST_1")], [merchant("MERCH_1")], [card("CARD_1")]),
                     as_of="2024-12-31", audit=False)
-    streamed = INC.read_table(spark, f"{tmp_dir}/summary")
+    streamed = spark.read.parquet(f"{tmp_dir}/summary")
     r = INC.relation_diff(streamed, m.fct_fraud_summary).first()
     assert (r.rows_only_in_left, r.rows_only_in_right) == (0, 0)
 
@@ -60,7 +60,7 @@ def test_summary_stream_running_totals_across_micro_batches(spark, tmp_dir):
     SP.start_summary_stream(stream, *_dims(spark), f"{tmp_dir}/summary", f"{tmp_dir}/cp").awaitTermination()
     m = FraudModels(raw_sources(spark, first + second, [customer("CUST_1")], [merchant("MERCH_1")], [card("CARD_1")]),
                     as_of="2024-12-31", audit=False)
-    streamed = INC.read_table(spark, f"{tmp_dir}/summary")
+    streamed = spark.read.parquet(f"{tmp_dir}/summary")
     r = INC.relation_diff(streamed, m.fct_fraud_summary).first()
     assert (r.rows_only_in_left, r.rows_only_in_right) == (0, 0)
     non_fraud = [x for x in streamed.collect() if x.fraud_type is None and str(x.transaction_date) == "2024-12-20"][0]
@@ -92,3 +92,16 @@ def test_fact_stream_keeps_summary_exact_under_corrections(spark, tmp_dir):
                     as_of="2024-12-31", audit=False)
     r = INC.relation_diff(spark.read.parquet(f"{tmp_dir}/summary"), m.fct_fraud_summary).first()
     assert (r.rows_only_in_left, r.rows_only_in_right) == (0, 0)
+
+
+def test_rows_of_any_age_are_kept_in_every_micro_batch(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    batches = [[txn("B", date="2024-12-25")], [txn("C", date="2024-12-26")],
+               [txn("D", date="2024-12-10"), txn("E", date="2024-12-26")], [txn("F", date="2023-01-01")]]
+    for rows in batches:
+        _land(spark, landing, rows)
+    stream = SP.read_transactions_stream(spark, landing, max_files_per_trigger=1)
+    SP.start_summary_stream(stream, *_dims(spark), f"{tmp_dir}/summary", f"{tmp_dir}/cp", fact_path=f"{tmp_dir}/fct").awaitTermination()
+    assert sorted(r.transaction_id for r in INC.read_table(spark, f"{tmp_dir}/fct").collect()) == list("BCDEF")
+    got = {str(r.transaction_date): r.total_transactions for r in spark.read.parquet(f"{tmp_dir}/summary").collect()}
+    assert got == {"2023-01-01": 1, "2024-12-10": 1, "2024-12-25": 1, "2024-12-26": 2}
