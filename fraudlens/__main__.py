@@ -3,9 +3,9 @@
 Commands mirror the reference workflow:
   generate     synthetic raw CSV/Parquet (distributed)
   load         parse raw CSV once into Parquet raw tables    (load step)
-  build        full build of all marts from raw files        (entry A)
+  build        full build of all marts from loaded raw tables (entry A)
   incremental  3-day lookback upsert of the fact + summary    (entry B)
-  test         all declared data-quality checks               (entry C)
+  test         schema checks, business assertions, freshness  (entry C)
   freshness    source freshness of raw transactions
   report       one business report (r1..r7) as CSV
 """
@@ -39,8 +39,10 @@ def main(argv: list[str] | None = None) -> int:
         p = sub.add_parser(name)
         p.add_argument("--raw", required=True)
         p.add_argument("--out", required=True)
-        p.add_argument("--raw-format", default="csv", choices=["csv", "parquet"])
+        p.add_argument("--raw-format", default="parquet", choices=["csv", "parquet"])
         p.add_argument("--as-of", default=None, help="YYYY-MM-DD; default today")
+        if name == "test":
+            p.add_argument("--at", default=None, help="timestamp for the future and freshness checks; default now")
 
     ld = sub.add_parser("load")
     ld.add_argument("--csv", required=True)
@@ -48,7 +50,7 @@ def main(argv: list[str] | None = None) -> int:
 
     f = sub.add_parser("freshness")
     f.add_argument("--raw", required=True)
-    f.add_argument("--raw-format", default="csv", choices=["csv", "parquet"])
+    f.add_argument("--raw-format", default="parquet", choices=["csv", "parquet"])
     f.add_argument("--at", default=None, help="timestamp to check against; default now")
 
     r = sub.add_parser("report")
@@ -78,10 +80,10 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(incremental_run(spark, a.raw, a.out, as_of=a.as_of, raw_fmt=a.raw_format)))
     elif a.cmd == "test":
         from fraudlens.plans.runs import quality_run
-        rows = quality_run(spark, a.raw, a.out, as_of=a.as_of, raw_fmt=a.raw_format).collect()
+        rows = quality_run(spark, a.raw, a.out, as_of=a.as_of, raw_fmt=a.raw_format, as_of_ts=a.at).collect()
         for row in rows:           # one row per declared check: bounded, not data-sized
             print(f"{row.status.upper():5} {row.failures:>10} {row.check_id}")
-        return 1 if any(row.status != "pass" for row in rows) else 0
+        return 1 if any(row.status == "fail" for row in rows) else 0
     elif a.cmd == "freshness":
         from fraudlens.operators.quality import freshness
         from fraudlens.sources.readers import RawSources

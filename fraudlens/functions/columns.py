@@ -45,8 +45,9 @@ MAX_FRAUD_RATE = 0.05             # business assertion on completed rows
 FRESHNESS_WARN_H, FRESHNESS_ERROR_H = 24, 48
 AMOUNT_RANGE = (0, 50000)
 SCORE_RANGE = (0, 5)
-# Java's \s class: blank, tab, newline, vertical tab, form feed, return.
-WHITESPACE = " \t\n\u000b\f\r"
+# the Unicode White_Space characters: controls, blanks, no-break and wide spaces, separators
+WHITESPACE = (" \t\n\u000b\f\r\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+              "\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 # ---------------------------------------------------------------------------
 
 
@@ -72,7 +73,8 @@ def blank_to_null(c: str | Column) -> Column:
 
 
 def to_amount(c: str | Column) -> Column:
-    return col(c).cast(AMOUNT_TYPE)
+    """NULL where the amount does not fit: the row stays and fails the not_null check instead of ending the build."""
+    return col(c).try_cast(AMOUNT_TYPE)
 
 
 def safe_divide(num: str | Column, den: str | Column) -> Column:

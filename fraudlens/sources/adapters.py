@@ -70,11 +70,11 @@ def adapt_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
         .select(
             k.alias("customer_id"),
             F.col("c_name").alias("first_name"),
-            F.concat(F.col("c_mktsegment"), F.lit("\t")).alias("last_name"),
+            F.concat(F.col("c_mktsegment"), F.lit("\u00a0\t")).alias("last_name"),
             F.concat(F.lit(" "), F.col("c_name"), F.lit("@Example.COM")).alias("email"),
             age.alias("age"),
             _ladder(age, [(26, "18-25"), (41, "26-40"), (61, "41-60")], "61+").alias("age_band"),
-            F.concat(F.lit(" "), F.lower("n_name")).alias("country"),
+            F.concat(F.lit("\u3000 "), F.lower("n_name")).alias("country"),
             F.lower("n_name").alias("city"),
             F.date_add(F.lit("1990-01-01").cast("date"), (k % 1000).cast("int")).alias("signup_date"),
             _ladder(k % 20, RISK_TIER_RAW, RISK_TIER_RAW_TOP).alias("risk_tier"),

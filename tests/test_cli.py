@@ -14,17 +14,16 @@ def test_cli_workflow(tmp_dir, capsys):
                  "--cards", "300"]) == 0
     landed = f"{tmp_dir}/landed"
     assert main(["load", "--csv", raw, "--raw", landed]) == 0
-    assert main(["--input-bytes", "1000000", "build", "--raw", landed, "--raw-format", "parquet",
-                 "--out", marts, "--as-of", "2024-12-31"]) == 0
-    assert main(["incremental", "--raw", landed, "--raw-format", "parquet", "--out", marts,
+    assert main(["--input-bytes", "1000000", "build", "--raw", landed, "--out", marts, "--as-of", "2024-12-31"]) == 0
+    assert main(["incremental", "--raw", landed, "--out", marts,
                  "--as-of", "2024-12-31"]) == 0
-    code = main(["test", "--raw", raw, "--out", marts, "--as-of", "2024-12-31"])
+    code = main(["test", "--raw", landed, "--out", marts, "--as-of", "2024-12-31", "--at", "2025-01-01 00:00:00"])
     out = capsys.readouterr().out
-    assert out.count("PASS") + out.count("FAIL") == 57
+    assert sum(out.count(s) for s in ("PASS", "WARN", "FAIL")) == 60
     assert len(os.listdir(f"{marts}/quality_results")) > 0          # results persisted
     # generated data has no dangling keys and clean codes: only the synthetic 'UNKNOWN'-free checks run
     assert code == 0, out
     assert main(["report", "--marts", marts, "--name", "r2", "--out", f"{tmp_dir}/r2"]) == 0
     assert any(f.endswith(".csv") for f in os.listdir(f"{tmp_dir}/r2"))
-    assert main(["freshness", "--raw", raw, "--at", "2030-01-01 00:00:00"]) == 1   # stale: error
+    assert main(["freshness", "--raw", landed, "--at", "2030-01-01 00:00:00"]) == 1   # stale: error
     assert "\"freshness_status\": \"error\"" in capsys.readouterr().out

@@ -40,3 +40,10 @@ def test_sum_if_keeps_decimal_28_9(spark):
     out = df.agg(C.sum_if(F.col("p"), "a").alias("s"))
     assert out.schema["s"].dataType.simpleString() == "decimal(28,9)"
     assert out.first()[0] == Decimal("1.500000000")
+
+
+def test_amounts_out_of_range_become_null_and_wide_spaces_are_trimmed(spark):
+    df = spark.createDataFrame([(1e9, "\u3000 a\u00a0b \u00a0\t"), (12.3456, "x"), (-0.005, None)], "d double, s string")
+    got = df.select(C.to_amount("d").alias("a"), C.trim_ws("s").alias("s")).collect()
+    assert [r.a if r.a is None else float(r.a) for r in got] == [None, 12.3456, -0.005]
+    assert [r.s for r in got] == ["a\u00a0b", "x", None]

@@ -128,3 +128,36 @@ def test_full_rebuild_replaces_every_day(spark, tmp_dir):
     days = sorted(str(r[0]) for r in spark.read.parquet(f"{tmp_dir}/marts/fct_fraud_summary")
                   .select("transaction_date").distinct().collect())
     assert days == ["2024-12-20", "2024-12-22"]
+
+
+def test_first_incremental_run_builds_the_whole_fact_and_later_ones_refresh_the_dimensions(spark, tmp_dir):
+    from fraudlens.plans import runs
+    dims = dict(customers=[customer("CUST_1")], merchants=[merchant("MERCH_1")], cards=[card("CARD_1")])
+    raw, marts = f"{tmp_dir}/raw", f"{tmp_dir}/marts"
+    rows = [txn(f"T{i}", date=f"2024-12-{10 + i}") for i in range(20)]
+    runs.write_raw_parquet(spark, raw_sources(spark, rows, **dims), raw)
+    assert runs.incremental_run(spark, raw, marts, as_of="2024-12-31")["mode"] == "full"
+    assert INC.read_table(spark, f"{marts}/fct_transactions").count() == 20
+    assert spark.read.parquet(f"{marts}/fct_fraud_summary").agg(F.sum("total_transactions")).first()[0] == 20
+    rows += [txn("late", date="2024-12-30", fraud=True, ftype="stolen_card")]
+    runs.write_raw_parquet(spark, raw_sources(spark, rows, **dims), raw)
+    assert runs.incremental_run(spark, raw, marts, as_of="2024-12-31")["mode"] == "merge"
+    runs.build_all(spark, raw, f"{tmp_dir}/full", as_of="2024-12-31")
+    for dim in ("dim_customers", "dim_merchants"):
+        a, b = (spark.read.parquet(f"{d}/{dim}") for d in (marts, f"{tmp_dir}/full"))
+        cols = [c for c in a.columns if not c.startswith("_")]
+        assert _diff(a.select(cols), b.select(cols)) == (0, 0)
+
+
+def test_a_changed_column_type_is_refused_before_writing(spark, tmp_dir):
+    fct = _fact(spark, [txn("A", date="2024-12-20"), txn("B", date="2024-12-29")])
+    INC.upsert(spark, fct, tmp_dir)
+    with pytest.raises(INC.TypeChangeError, match="hour_of_day"):
+        INC.upsert(spark, _fact(spark, [txn("C", date="2024-12-30")]).withColumn("hour_of_day", F.col("hour_of_day").cast("string")), tmp_dir)
+    assert _diff(INC.read_table(spark, tmp_dir), fct) == (0, 0)
+
+
+def test_relation_diff_counts_rows_as_bags(spark):
+    a = spark.createDataFrame([(1, None), (1, None), (2, "x"), (3, "y")], "k int, v string")
+    b = spark.createDataFrame([(1, None), (2, "z")], "k int, v string")
+    assert _diff(a, b) == (3, 1) and _diff(a, a) == (0, 0) and _diff(a.limit(0), b) == (0, 2)

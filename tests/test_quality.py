@@ -29,3 +29,15 @@ def test_singular_checks_and_freshness(spark):
     assert [r.transaction_id for r in Q.future_transactions(m.fct_transactions, "2025-01-01 00:00:00").collect()] == ["F"]
     f = Q.freshness(m.raw["transactions"], "transactions", "transaction_ts", "2030-01-03 00:00:00").first()
     assert f.freshness_status == "warn" and f.hours_since_load == 36.0
+
+
+def test_a_source_without_rows_is_stale_and_all_checks_run(spark):
+    m = FraudModels(raw_sources(spark, [], [customer("CUST_1")], [merchant("MERCH_1")], [card("CARD_1")]),
+                    as_of="2024-12-31", audit=False)
+    assert Q.freshness(m.raw["transactions"], "transactions", "transaction_ts").first().freshness_status == "error"
+    tables = {f"raw_{t}": m.raw[t] for t in m.raw} | {t: getattr(m, t) for t in (
+        "stg_transactions", "stg_customers", "stg_merchants", "stg_cards", "fct_transactions", "fct_fraud_summary",
+        "dim_customers", "dim_merchants")}
+    res = {r.check_id: r.status for r in Q.run_all_checks(tables, "2025-01-01 00:00:00").collect()}
+    assert len(res) == 60 and res["freshness:raw_transactions.transaction_ts"] == "fail"
+    assert res["fraud_rate:fct_transactions.is_fraudulent"] == res["future_transactions:fct_transactions.transaction_ts"] == "pass"
