@@ -40,3 +40,14 @@ def test_day_partition_detection(spark, tmp_dir):
     df.write.parquet(f"{tmp_dir}/flat")
     assert is_partitioned_by(spark.read.parquet(f"{tmp_dir}/by_day"), "transaction_date")
     assert not is_partitioned_by(spark.read.parquet(f"{tmp_dir}/flat"), "transaction_date")
+
+
+def test_file_sizes_match_the_file_system(spark, tmp_dir):
+    import os
+
+    from fraudlens.sources.readers import file_sizes
+    spark.range(1000).repartition(3).write.parquet(f"{tmp_dir}/t")
+    want = {f: os.path.getsize(f"{tmp_dir}/t/{f}") for f in os.listdir(f"{tmp_dir}/t") if f.endswith(".parquet")}
+    got = file_sizes(spark, f"{tmp_dir}/t").collect()
+    assert {os.path.basename(r["file_path"]): r["file_size"] for r in got} == want
+    assert sum(r["rows"] for r in got) == 1000
