@@ -13,7 +13,7 @@ DataFrame functions only.  Texts with a base match are grouped by document once
 from running sums of the lengths of pieces and matches.  A term meets a value when
 their places are within ``reach`` characters on a line: both are joined on cells of
 that width, so a line of many values and words does not pair all with all.  c(t) is one
-pass over all documents for the candidate terms, aggregated before the shuffle.
+pass over all documents, aggregated before the shuffle and before candidate terms are picked.
 
 The patterns are written with possessive quantifiers and, where a match can only
 begin at a run's start or after the previous match, an anchor saying so; both keep
@@ -123,7 +123,7 @@ def disclosing_terms(docs: DataFrame, spans: DataFrame, lines: DataFrame, suppor
     terms = materialize(together.select("term").distinct())
     small = F.broadcast if terms.count() <= 1_000_000 else (lambda df: df)
     held = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0))).alias("term"))
-    c_t = held.join(small(terms), "term").groupBy("term").agg(F.count(F.lit(1)).alias("c_t"))
+    c_t = held.groupBy("term").agg(F.count(F.lit(1)).alias("c_t")).join(small(terms), "term")
     c_e = (spans.groupBy(F.concat_ws(":", "kind", "value").alias("entity"))
            .agg(F.count_distinct("row").alias("c_e")))
     n = F.lit(docs.count())
