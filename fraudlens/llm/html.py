@@ -33,7 +33,7 @@ from fraudlens.llm.url_filter import host_of
 
 RUN = 5                   # tokens: the shortest run that counts as repeated
 COVERED = 0.8             # share of a block's tokens that repeated runs must cover
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 RESULT = "page_id bigint, url string, text string, n_chars bigint"
 
 # Fixed values of HTML: elements without content, with raw text, and that break a line.
