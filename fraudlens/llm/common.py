@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.session import ensure_checkpoint_dir, materialize, scratch_path
+from fraudlens import session
+from fraudlens.session import ensure_checkpoint_dir, scratch_path
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -29,6 +31,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark removes the shuffle files of a finished query while this is set.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows that a table may have, by its counted size, to be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Queries run inside leave no shuffle files: for those that end in a table of their own."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared checkpoint folder, for small tables that several later jobs read."""
+    with shuffles_removed(df.sparkSession):
+        return session.materialize(df)
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A materialised table, broadcast where its counted size allows it."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
@@ -37,7 +67,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -47,5 +78,5 @@ def ascii_lower(col: Column) -> Column:
             .otherwise(F.translate(col, ASCII_UPPER, ASCII_LOWER)))
 
 
-__all__ = ["ASCII_LOWER", "ASCII_UPPER", "ascii_lower", "ensure_checkpoint_dir", "importable",
+__all__ = ["ASCII_LOWER", "ASCII_UPPER", "ascii_lower", "bounded", "ensure_checkpoint_dir", "importable",
            "materialize", "scratch_path", "staged", "table"]

@@ -9,13 +9,14 @@ with it; the earlier line need not itself stay.
    table of fixed size, then by hash.  The first n - ceil(t n) + 1 words are the prefix.
 3. A cheap round settles near copies: classes that agree on a few words at fixed places
    are compared with the earliest of them.
-4. Classes without a match yet are joined with all earlier ones on prefix words, under the
+4. All classes are joined on prefix words, but for pairs whose lines are both settled, under the
    length filter, the positional filter and a bound on the overlap from bit signatures
    of the sets, none of which loses a match.
 5. Candidates are verified on the words themselves, read again from the text.
 
 DataFrame functions only.  One exchange serves both sides of the join in step 4.  Line
-texts are shuffled nowhere but for candidates.
+texts are shuffled nowhere but for candidates, and the shuffle files of a step go when its
+table is written.
 """
 
 from __future__ import annotations
@@ -23,52 +24,57 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudlens.llm.common import materialize, staged
-from fraudlens.llm.setjoin import leader_pairs, overlap_fits, places_fit, sizes_fit, window_pairs
+from fraudlens.llm.common import bounded, materialize, staged
+from fraudlens.llm.setjoin import overlap_fits, places_fit, sizes_fit, window_pairs
 
 PER_CENT = 75
 COUNTERS = 1 << 17
-HASH_BITS = 57             # of a word's hash, below the 6 bits of its rarity
-BROADCAST_ROWS = 1_000_000
+HASH_BITS = 57             # of a word's hash, below the 6 bits of its rarity: 63 bits name a word in the filters
 LINE = ["doc_id", "row", "line_no"]
 
 
 def words_of(line: Column) -> Column:
     """All words of a line in order; white space other than line breaks parts them."""
-    spaced = F.lower(line)
-    for c in "\t\r\x0b\x0c":
-        spaced = F.replace(spaced, F.lit(c), F.lit(" "))
-    return F.filter(F.split(spaced, " "), lambda w: w != "")
+    return F.array_remove(F.split(_spaced(line, "\t\r\x0b\x0c"), " "), "")
+
+
+def _spaced(text: Column, breaks: str) -> Column:
+    text = F.lower(text)
+    for c in breaks:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return text
 
 
 def lines_of(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "row", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
 
 
-def rarity(rows: DataFrame) -> bytearray:
+def rarity(rows: DataFrame) -> list[int]:
     """A rank from 0 (rare) to 63 for each of COUNTERS hash classes, by how often their words occur in all documents."""
-    words = rows.select(F.explode(F.split(F.lower(F.translate("text", "\n\t\r\x0b\x0c", "     ")), " ")).alias("w"))
+    words = rows.select(F.explode(F.split(_spaced(F.col("text"), "\n\t\r\x0b\x0c"), " ")).alias("w"))
     counts = (words.where("w <> ''").groupBy(F.xxhash64("w").bitwiseAND(F.lit(COUNTERS - 1)).alias("at"))
               .agg(F.count(F.lit(1)).alias("n"))).collect()
     mean = max(1.0, sum(r["n"] for r in counts) / COUNTERS)
-    ranks = bytearray(COUNTERS)
+    ranks = [0] * COUNTERS
     for r in counts:
         ranks[r["at"]] = min(63, int(r["n"] * 4 / mean))
     return ranks
 
 
-def line_sets(lines: DataFrame, ranks: bytearray, per_cent: int) -> DataFrame:
+def line_sets(lines: DataFrame, ranks: list[int], per_cent: int) -> DataFrame:
     """LINE, n, s1, s2 (128 bits that name the set), k1, k2 (bit signature), prefix and keys of lines with words."""
-    table = F.lit(ranks)
+    # a constant: the optimizer parses it once, and a lookup is an array access
+    table = F.from_json(F.lit(str([r << HASH_BITS for r in ranks])), "array<bigint>")
 
-    def placed(h: Column) -> Column:
-        at = h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")
-        rank = F.ascii(table.substr(at + 1, F.lit(1)).cast("string")).cast("bigint")
-        return F.shiftleft(rank, HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+    def placed(word: Column) -> Column:
+        h = F.xxhash64(word)
+        rank = F.get(table, h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int"))
+        return rank.bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
     def signature(half: int) -> Column:
         def add(acc: Column, h: Column) -> Column:
-            one = F.when(h.bitwiseAND(F.lit(64)) == half * 64, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+            place = F.shiftright(h, 6) if half else F.bitwise_not(F.shiftright(h, 6))
+            one = place.bitwiseAND(F.lit(1).cast("bigint"))
             return acc.bitwiseOR(F.call_function("shiftleft", one, h.bitwiseAND(F.lit(63)).cast("int")))
         return F.aggregate("ordered", F.lit(0).cast("bigint"), add)
 
@@ -78,10 +84,10 @@ def line_sets(lines: DataFrame, ranks: bytearray, per_cent: int) -> DataFrame:
     size = F.size("words")
     read = lines.select(*LINE, words_of(F.col("line")).alias("words")).where("size(words) > 0")
     read = read.select(
-        *LINE, F.size(F.array_distinct("words")).alias("n"),
-        F.sort_array(F.transform(F.transform(F.array_distinct("words"), lambda w: F.xxhash64(w)), placed)).alias("ordered"),
+        *LINE, F.sort_array(F.array_distinct(F.transform("words", placed))).alias("ordered"),
         F.array_distinct(F.array(key(F.lit(1), 1), key(F.greatest(size - 3, F.lit(1)), 2),
                                  key(F.greatest((size / 2).cast("int") - 1, F.lit(1)), 3))).alias("keys"))
+    read = read.select("*", F.size("ordered").alias("n"))
     prefix = F.col("n") - F.ceil(F.col("n") * per_cent / 100).cast("int") + 1
     return read.select(*LINE, "n", F.xxhash64("ordered").alias("s1"), F.xxhash64(F.lit(7), "ordered").alias("s2"),
                        signature(0).alias("k1"), signature(1).alias("k2"),
@@ -95,26 +101,45 @@ def _may_match(a, b, per_cent: int) -> Column:
     return sizes_fit(F.abs(a["n"]), F.abs(b["n"]), per_cent) & overlap_fits((both - differ) / 2, F.abs(a["n"]), F.abs(b["n"]), per_cent)
 
 
-def _sides(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
-    """The pairs (x, y) that may match by their signatures."""
-    small = sets.select("id", "n", "k1", "k2")
-    a, b = (small.select(F.col("id").alias(v), *[F.col(c).alias(f"{v}_{c}") for c in ("n", "k1", "k2")]) for v in "xy")
-    ok = _may_match({c: F.col(f"x_{c}") for c in ("n", "k1", "k2")}, {c: F.col(f"y_{c}") for c in ("n", "k1", "k2")}, per_cent)
-    return pairs.join(a, "x").join(b, "y").where(ok).select("x", "y")
+def near_pairs(reps: DataFrame, per_cent: int) -> DataFrame:
+    """(x, y): each line with the earliest line of a group that shares a key and may match by its signature."""
+    here = F.struct(*LINE).alias("here")
+    keyed = reps.select("id", here, "n", "k1", "k2", F.explode("keys").alias("key"))
+    first = (keyed.groupBy("key").agg(F.min(F.struct("here", "id", "n", "k1", "k2")).alias("first"), F.count(F.lit(1)).alias("c"))
+             .where("c > 1").select("key", "first"))
+    cols = ("n", "k1", "k2")
+    ok = _may_match({c: F.col(c) for c in cols}, {c: F.col(f"first.{c}") for c in cols}, per_cent)
+    return (keyed.join(first, "key").where((F.col("id") != F.col("first.id")) & ok)
+            .select(F.col("id").alias("x"), F.col("first.id").alias("y")).distinct())
 
 
-def matched(pairs: DataFrame, sets: DataFrame, rows: DataFrame, per_cent: int) -> DataFrame:
-    """(id) of every x of a pair (x, y) whose word sets reach the similarity."""
-    wanted = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id"))).distinct()
-    at = materialize(sets.select("id", "first.*").join(wanted, "id"))
-    small = F.broadcast(at) if at.count() <= BROADCAST_ROWS else at
+def matched(pairs: DataFrame, read: DataFrame, rows: DataFrame, per_cent: int, settled: DataFrame | None = None) -> DataFrame:
+    """(id) of the later line of every pair (x, y) whose word sets reach the similarity.
+
+    Pairs whose later line is in ``settled`` already, and lines of a repeated row against
+    themselves, are left out before any words are read.
+    """
+    wanted = materialize(pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id"))).distinct())
+    here = F.struct(*LINE)
+    at = bounded(materialize(read.select("id", here.alias("here")).join(bounded(wanted), "id")))
+    a, b = (at.select(F.col("id").alias(v), F.col("here").alias(f"at_{v}")) for v in "xy")
+    swap = F.col("at_x") < F.col("at_y")
+    ordered = (pairs.join(a, "x").join(b, "y").where(F.col("at_x") != F.col("at_y"))
+               .select(F.when(swap, F.col("y")).otherwise(F.col("x")).alias("x"),
+                       F.when(swap, F.col("x")).otherwise(F.col("y")).alias("y")).distinct())
+    if settled is not None:
+        ordered = ordered.join(bounded(settled.select(F.col("id").alias("x"))), "x", "left_anti")
+    ordered = staged(ordered, "line-pairs")
+
+    ids = ordered.select(F.col("x").alias("id")).unionByName(ordered.select(F.col("y").alias("id"))).distinct()
+    small = bounded(materialize(read.select("id", *LINE).join(bounded(materialize(ids)), "id")))
     lines = lines_of(rows)
     same = lines["doc_id"].eqNullSafe(small["doc_id"]) & (lines["row"] == small["row"]) & (lines["line_no"] == small["line_no"])
     found = staged(lines.join(small, same).select("id", F.array_distinct(words_of(F.col("line"))).alias("w"))
                    .dropDuplicates(["id"]), "line-words")
-    a, b = found.select(F.col("id").alias("x"), F.col("w").alias("wx")), found.select(F.col("id").alias("y"), F.col("w").alias("wy"))
+    a, b = (found.select(F.col("id").alias(v), F.col("w").alias(f"w{v}")) for v in "xy")
     shared = F.size(F.array_intersect("wx", "wy"))
-    return materialize(pairs.join(a, "x").join(b, "y").where(overlap_fits(shared, F.size("wx"), F.size("wy"), per_cent))
+    return materialize(ordered.join(a, "x").join(b, "y").where(overlap_fits(shared, F.size("wx"), F.size("wy"), per_cent))
                        .select(F.col("x").alias("id")).distinct())
 
 
@@ -122,33 +147,30 @@ def find_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
                  per_cent: int = PER_CENT) -> DataFrame:
     """(doc_id, row, line_nos): the lines of each document that go, counted from 0; documents without any are left out."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    # rows that repeat an id and its text are one document: their lines are found twice and merge at the end
     rows = documents.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
     ranks = rarity(rows)
-    read = line_sets(lines_of(rows), ranks, per_cent)
-    classes = (read.groupBy("s1", "s2", "n").agg(
-        F.min(F.struct(*LINE)).alias("first"), F.count(F.lit(1)).alias("lines"),
-        F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("prefix").alias("prefix"), F.first("keys").alias("keys")))
-    sets = staged(classes.orderBy("first").withColumn("id", F.monotonically_increasing_id()), "line-sets")
-
-    near = _sides(leader_pairs(sets.select("id", F.explode("keys").alias("key"))), sets, per_cent)
-    settled = matched(staged(near, "line-near"), sets, rows, per_cent)
-    # a settled class is marked by a negative size: both sides of the join keep the same columns, hence one exchange
-    entries = (sets.select("id", "n", "k1", "k2", "prefix").join(settled.withColumn("gone", F.lit(True)), "id", "left")
+    read = staged(line_sets(lines_of(rows), ranks, per_cent).withColumn("id", F.monotonically_increasing_id()), "lines")
+    here, same_set = F.struct(*LINE), ["s1", "s2", "n"]
+    classes = materialize(read.groupBy(*same_set).agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("c"))
+                          .where("c > 1").drop("c"))
+    classes = bounded(classes)
+    reps = (read.join(classes, same_set, "left").where(F.col("first").isNull() | (here == F.col("first")))
+            .select("id", *LINE, "n", "k1", "k2", "prefix", "keys"))
+
+    settled = matched(staged(near_pairs(reps, per_cent), "line-near"), read, rows, per_cent)
+    # a settled line is marked by a negative size: both sides of the join keep the same columns, hence one exchange
+    entries = (reps.select("id", "n", "k1", "k2", "prefix").join(bounded(settled).withColumn("gone", F.lit(True)), "id", "left")
                .withColumn("n", F.when(F.col("gone"), -F.col("n")).otherwise(F.col("n"))).drop("gone"))
 
     def keep(a, b) -> Column:
         place = {"n": F.abs(a["n"]), "pos": a["pos"]}, {"n": F.abs(b["n"]), "pos": b["pos"]}
-        open_id = F.when(a["n"] < 0, F.lit(-1)).otherwise(a["id"])
-        return (open_id > b["id"]) & places_fit(*place, per_cent) & _may_match(a, b, per_cent)
-
-    late = matched(staged(window_pairs(entries, keep), "line-windows"), sets, rows, per_cent)
-    gone = settled.unionByName(late).withColumn("gone", F.lit(True))
-    acting = staged(sets.join(gone, "id", "left").where("lines > 1 OR gone")
-                    .select("s1", "s2", "n", "first", F.coalesce("gone", F.lit(False)).alias("gone")), "line-acting")
-    small = F.broadcast(acting) if acting.count() <= BROADCAST_ROWS else acting
-    here = F.struct(*LINE)
-    return (read.select(*LINE, "s1", "s2", "n").join(small, ["s1", "s2", "n"])
-            .where(F.col("gone") | (here != F.col("first")))
+        return (F.greatest(a["n"], b["n"]) > 0) & places_fit(*place, per_cent) & _may_match(a, b, per_cent)
+
+    late = matched(staged(window_pairs(entries, keep), "line-windows"), read, rows, per_cent, settled)
+    gone = bounded(materialize(settled.unionByName(late).distinct()))
+    repeats = read.join(classes, same_set).where(here != F.col("first")).select(*LINE)
+    return (repeats.unionByName(read.join(gone, "id").select(*LINE))
             .groupBy("doc_id", "row").agg(F.array_sort(F.collect_set("line_no")).alias("line_nos")))
 
 

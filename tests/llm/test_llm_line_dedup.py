@@ -59,6 +59,11 @@ def test_nulls_repeated_rows_and_clashing_names(frame):
     assert out == sorted([(None, "a b c d e"), (1, ""), (1, ""), (2, ""), (3, None), (4, "x")], key=str)
 
 
+def test_a_repeated_row_does_not_match_itself(frame):
+    got = dedup_lines(frame([(1, "a b c d\ne f g"), (1, "a b c d\ne f g"), (2, "a b c d")]))
+    assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == [(1, "a b c d\ne f g")] * 2 + [(2, "")]
+
+
 def test_rows_sharing_an_id_are_separate_texts(frame):
     got = sorted(r["text"] for r in dedup_lines(frame([(1, "a b c d\ne"), (1, "a b c d\nf")])).collect())
     assert got in (["a b c d\ne", "f"], ["a b c d\nf", "e"])
