@@ -2,8 +2,8 @@
 
 1. Documents become sets of 64-bit hashes of ``width``-word shingles; equal sets become one
    point (id: its smallest document).  All later steps work on points.
-2. Pivots and cells: points that agree on a few minima of random orders propose the
-   smallest one among them as pivot; the exact distance decides.  Points within the radius of
+2. Pivots and cells: points that agree on a few minima of random orders propose the one
+   among them with the most copies as pivot; the exact distance decides.  Points within the radius of
    their pivot are linked to it, and linked pivots join their cells (``components``).
    A group of near copies is settled here by one comparison a point and key.
 3. Windows: by the triangle inequality to the empty set, in the universe of the
@@ -11,8 +11,8 @@
    n - ceil(t n) + 1 shingles in rarity order.  A point is therefore replicated to the
    regions of these shingles alone, and meets there every point that another cell
    still could bring within the radius.  Pairs of one cell are connected already and are left out.
-4. What passes the size and positional bounds is verified exactly, and the links of
-   both rounds give the components.
+4. What passes the size and positional bounds, and a bound from bit signatures, is verified
+   exactly, and the links of both rounds give the components.
 
 Rarity comes from counters over all documents: ``COUNTERS`` hashed counters, so the
 table sent to every task has a fixed size; shared passages get high counts and
@@ -29,13 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudlens.llm.common import materialize, staged
+from fraudlens.llm.common import bounded, materialize, staged
 from fraudlens.llm.setjoin import components, leader_pairs, places_fit, prefix_length, window_pairs
 
 WIDTH, PER_CENT = 5, 75
 COUNTERS = 1 << 18
 ORDERS, KEY_ORDERS = 8, 2          # random orders, and how many of them a pivot key joins
-BROADCAST_ROWS = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -114,13 +113,13 @@ def rarity(rows: DataFrame, width: int) -> np.ndarray:
 
 
 def points(rows: DataFrame, ranks: np.ndarray, width: int, per_cent: int) -> DataFrame:
-    """(doc_id, row, n, digest, keys, prefix) of each document; keys and prefix are empty for empty sets."""
+    """(doc_id, row, n, digest, keys, prefix, bits) of each document; the last three are empty for empty sets."""
     table = rows.sparkSession.sparkContext.broadcast(ranks.tobytes())
 
     def run(batches):
         ranks = np.frombuffer(table.value, np.uint8)
         for b in batches:
-            n, digest, keys, prefix = [], [], [], []
+            n, digest, keys, prefix, bits = [], [], [], [], []
             for t in b.column(2):
                 h = shingles(t.as_py(), width)
                 n.append(len(h))
@@ -128,7 +127,9 @@ def points(rows: DataFrame, ranks: np.ndarray, width: int, per_cent: int) -> Dat
                 if not len(h):
                     keys.append([])
                     prefix.append([])
+                    bits.append(b"")
                     continue
+                bits.append(signature(h))
                 low = _minima(h)
                 keys.append([_signed(low[i:i + KEY_ORDERS], i) for i in range(0, ORDERS, KEY_ORDERS)])
                 order = (ranks[(h >> np.uint64(46)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (h & np.uint64((1 << 56) - 1))
@@ -136,29 +137,60 @@ def points(rows: DataFrame, ranks: np.ndarray, width: int, per_cent: int) -> Dat
                 prefix.append(np.sort(order)[:p].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64()))],
-                names=["doc_id", "row", "n", "digest", "keys", "prefix"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                names=["doc_id", "row", "n", "digest", "keys", "prefix", "bits"])
 
-    return rows.mapInArrow(run, "doc_id bigint, row bigint, n bigint, digest binary, keys array<bigint>, prefix array<bigint>")
+    return rows.mapInArrow(run, "doc_id bigint, row bigint, n bigint, digest binary, keys array<bigint>, "
+                                "prefix array<bigint>, bits binary")
 
 
 def _signed(values: list[int], salt: int) -> int:
     return int.from_bytes(hashlib.blake2b(repr((salt, values)).encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a materialised table whose counted size allows it."""
-    return F.broadcast(df) if df.count() <= rows else df
+def signature(h: np.ndarray) -> bytes:
+    """A bit for each hash in a table of 2 to 4 bits a hash, from 256 to 2^16."""
+    size = 1 << min(16, max(8, int(4 * len(h) - 1).bit_length() - 1))
+    bits = np.zeros(size, bool)
+    bits[(h & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def may_match(p: bytes, q: bytes, n: int, m: int, per_cent: int) -> bool:
+    """False only where the similarity is out of reach: every bit that differs is a hash of one set alone."""
+    p, q = np.frombuffer(p, np.uint8), np.frombuffer(q, np.uint8)
+    while len(p) > len(q):                       # a table folds into the one of half its size
+        p = p[:len(p) // 2] | p[len(p) // 2:]
+    while len(q) > len(p):
+        q = q[:len(q) // 2] | q[len(q) // 2:]
+    shared = (n + m - int(np.bitwise_count(p ^ q).sum())) / 2
+    return (100 + per_cent) * shared >= per_cent * (n + m)
+
+
+def possible(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """The pairs whose signatures leave the similarity in reach."""
+    a, b = (sets.select(F.col("id").alias(v), F.col("n").alias(f"n{v}"), F.col("bits").alias(f"b{v}")) for v in "xy")
+
+    def test(batches):
+        for c in batches:
+            keep = [may_match(p.as_py(), q.as_py(), n, m, per_cent)
+                    for p, q, n, m in zip(c.column(2), c.column(3), c.column(4).to_pylist(), c.column(5).to_pylist())]
+            yield pa.RecordBatch.from_arrays([c.column(0), c.column(1)], names=["x", "y"]).filter(pa.array(keep, pa.bool_()))
+
+    return staged(pairs.join(a, "x").join(b, "y").select("x", "y", "bx", "by", "nx", "ny")
+                  .mapInArrow(test, "x bigint, y bigint"), "possible")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, per_cent: int) -> DataFrame:
     """The pairs (x, y) whose sets reach the similarity, from the texts of both.
 
-    ``sets``: id, doc_id, row of each point; texts are read for points in a pair only.
+    ``sets``: id, doc_id, row, n, bits of each point; pairs that the signatures rule out
+    go first, and texts are read for points in a remaining pair only.
     """
+    pairs = possible(pairs, sets, per_cent)
     wanted = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id"))).distinct()
-    at = materialize(sets.join(wanted, "id").select("id", "doc_id", "row"))
-    small = _bounded(at)
+    at = materialize(sets.select("id", "doc_id", "row").join(bounded(materialize(wanted)), "id"))
+    small = bounded(at)
 
     def hashes(batches):
         for b in batches:
@@ -202,11 +234,13 @@ def near_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
     sets = staged(
         docs.where("n > 0").groupBy("digest", "n").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("m"),
-            F.first("keys").alias("keys"), F.first("prefix").alias("prefix"))
-        .select("digest", "n", "m.doc_id", "m.row", "keys", "prefix")
+            F.count(F.lit(1)).alias("copies"),
+            F.first("keys").alias("keys"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+        .select("digest", "n", "m.doc_id", "m.row", F.struct(-F.col("copies"), "m.no_id", "m.doc_id").alias("rank"),
+                "keys", "prefix", "bits")
         .withColumn("id", F.monotonically_increasing_id()), "point-sets")
 
-    proposals = staged(leader_pairs(sets.select("id", F.explode("keys").alias("key"))), "proposals")
+    proposals = staged(leader_pairs(sets.select("id", "rank", F.explode("keys").alias("key"))), "proposals")
     links = verified(proposals, sets, rows, width, per_cent)
     cells = components(links, "cells")
 

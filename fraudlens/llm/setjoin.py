@@ -58,13 +58,15 @@ class _side(dict):
 
 
 def leader_pairs(keys: DataFrame) -> DataFrame:
-    """(x, y): each member of a group with the group's smallest id; at most one pair per key row.
+    """(x, y): each id with the first by ``rank`` of all ids that share a key with it; at most one pair an id.
 
-    ``keys``: id, key.  Groups are aggregated before the shuffle; a hot group
+    ``keys``: id, rank, key.  Groups are aggregated before the shuffle; a hot group
     is split by the adaptive skew join.
     """
-    first = keys.groupBy("key").agg(F.min("id").alias("y"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return keys.join(first, "key").where("id <> y").select(F.col("id").alias("x"), "y").distinct()
+    first = (keys.groupBy("key").agg(F.min(F.struct("rank", "id")).alias("first"), F.count(F.lit(1)).alias("n"))
+             .where("n > 1").drop("n"))
+    return (keys.join(first, "key").where(F.col("id") != F.col("first.id")).groupBy(F.col("id").alias("x"))
+            .agg(F.min("first").alias("first")).select("x", F.col("first.id").alias("y")))
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:

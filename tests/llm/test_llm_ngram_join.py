@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 
-from fraudlens.llm.ngram_join import near_components, shingles
+from fraudlens.llm.ngram_join import may_match, near_components, shingles, signature
 from fraudlens.llm.setjoin import components
 
 
@@ -81,6 +81,22 @@ def test_shingle_hashes_follow_word_boundaries():
     assert not np.array_equal(shingles("É"), shingles("é"))
 
 
+def test_signatures_never_rule_out_a_link():
+    r = np.random.default_rng(4)
+    ruled_out = 0
+    for n in (1, 3, 20, 200, 3000):
+        for _ in range(40):
+            a = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
+            keep = a[r.random(len(a)) < r.choice([0.1, 0.7, 0.8, 0.9, 1.0])]
+            b = np.unique(np.r_[keep, r.integers(0, 1 << 63, int(n * r.choice([0, 0.1, 0.3])), dtype=np.uint64)])
+            if len(b):
+                both = len(np.intersect1d(a, b))
+                may = may_match(signature(a), signature(b), len(a), len(b), 75)
+                assert may or 100 * both < 75 * (len(a) + len(b) - both)
+                ruled_out += not may
+    assert ruled_out > 50
+
+
 def test_components_of_long_paths_and_stars(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(200, 201), (201, 200), (5, 5)]
