@@ -28,7 +28,7 @@ def test_raw_sources_lookup_and_views(spark):
     raw = raw_from_driver_tables(spark, "/root/testdata/sf0.001")
     assert set(raw) == {"transactions", "customers", "merchants", "cards"}
     raw.register_views()
-    assert spark.sql("select count(*) from raw_cards").first()[0] == 297
+    assert spark.sql("select count(*) from raw_cards").first()[0] == 300
     with pytest.raises(KeyError):
         RawSources({"nope": raw["cards"]})
 
