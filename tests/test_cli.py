@@ -17,7 +17,7 @@ def test_cli_workflow(tmp_dir, capsys):
     assert main(["--input-bytes", "1000000", "build", "--raw", landed, "--out", marts, "--as-of", "2024-12-31"]) == 0
     assert main(["incremental", "--raw", landed, "--out", marts,
                  "--as-of", "2024-12-31"]) == 0
-    code = main(["test", "--raw", landed, "--out", marts, "--as-of", "2024-12-31", "--at", "2025-01-01 00:00:00"])
+    code = main(["test", "--raw", landed, "--out", marts, "--as-of", "2024-12-31", "--at", "2024-12-31 12:00:00"])
     out = capsys.readouterr().out
     assert sum(out.count(s) for s in ("PASS", "WARN", "FAIL")) == 60
     assert len(os.listdir(f"{marts}/quality_results")) > 0          # results persisted
