@@ -6,7 +6,8 @@ protected value away: with ``c`` counts of documents, a term ``t`` near a value
 ``e`` discloses it by PMI / IC, where PMI = log2(c(t,e) N / (c(t) c(e))) and
 IC = log2(N / c(e)); 1 means the term reveals the value as well as the value itself.
 Terms at or above ``generalise`` become a placeholder, those at or above
-``remove`` go; both need ``support`` distinct texts in which they meet.
+``remove`` go.  A term needs ``support`` texts that hold it, anywhere in the corpus; a value
+needs no more than the one text it stands in, as most values are unique.
 
 DataFrame functions only.  Texts with a base match are grouped by document once
 (one exchange, which all later windows share) and cut into lines; matches and words get their places
@@ -115,15 +116,12 @@ def disclosing_terms(docs: DataFrame, spans: DataFrame, lines: DataFrame, suppor
     meets = staged(meets.select(*line_key, "start", "end", "term", "entity").distinct()
                    .join(inside, [*line_key, "start", "end"], "left_anti"), "pii-meets")
 
-    together = (meets.groupBy("entity", "term").agg(F.count_distinct("row").alias("c_te"))
-                .where(F.col("c_te") >= support))
-    together = materialize(together)
-    if together.isEmpty():
-        return meets.select("doc_id", "row", "start", "end", F.lit(1.0).alias("disclosure")).limit(0)
+    together = materialize(meets.groupBy("entity", "term").agg(F.count_distinct("row").alias("c_te")))
     terms = materialize(together.select("term").distinct())
     small = F.broadcast if terms.count() <= 1_000_000 else (lambda df: df)
     held = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0))).alias("term"))
-    c_t = held.groupBy("term").agg(F.count(F.lit(1)).alias("c_t")).join(small(terms), "term")
+    c_t = (held.groupBy("term").agg(F.count(F.lit(1)).alias("c_t")).where(F.col("c_t") >= support)
+           .join(small(terms), "term"))
     c_e = (spans.groupBy(F.concat_ws(":", "kind", "value").alias("entity"))
            .agg(F.count_distinct("row").alias("c_e")))
     n = F.lit(docs.count())

@@ -76,3 +76,17 @@ def test_repeated_rows_shared_ids_and_empty_table(frame):
     got = base(frame([(1, "a@b.c"), (1, "a@b.c"), (1, "x 1.2.3.4"), (None, "a@b.c"), (2, None)]))
     assert sorted(got, key=str) == sorted([(1, [("email", 0, 5)]), (1, [("email", 0, 5)]), (1, [("ip", 2, 9)]), (None, [("email", 0, 5)]), (2, [])], key=str)
     assert base(frame([])) == []
+
+
+def terms_of(rows, found):
+    text = dict(rows)
+    return {r["doc_id"]: {text[r["doc_id"]][s["start"]:s["end"]] for s in r["spans"] if s["kind"] == "term"} for r in found.collect()}
+
+
+def test_a_value_of_a_single_document_is_disclosed(frame):
+    rows = [(i, f"the weather is fine today note {i}") for i in range(300)]
+    rows += [(1000 + i, f"a falconer was seen on day {i}") for i in range(5)] + [(1100 + i, f"an osprey on day {i}") for i in range(3)]
+    rows += [(2000, "the falconer and the osprey: boss@corp.example today")]
+    got = terms_of(rows, pii.find_pii(frame(rows)))
+    assert got.pop(2000) == {"falconer"}                    # 6 texts hold it; 4 hold osprey, all texts the rest
+    assert not any(got.values())
