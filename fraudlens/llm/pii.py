@@ -9,11 +9,12 @@ Terms at or above ``generalise`` become a placeholder, those at or above
 ``remove`` go.  A term needs ``support`` texts that hold it, anywhere in the corpus; a value
 needs no more than the one text it stands in, as most values are unique.
 
-DataFrame functions only.  Texts with a base match are grouped by document once
-(one exchange, which all later windows share) and cut into lines; matches and words get their places
-from running sums of the lengths of pieces and matches.  A term meets a value when
-their places are within ``reach`` characters on a line: both are joined on cells of
-that width, so a line of many values and words does not pair all with all.  c(t) is one
+DataFrame functions only.  Texts with a base match are grouped by document
+(one exchange, which all later windows share) and cut into lines; matches get their places
+from running sums of the lengths of pieces and matches, and so do the words of the texts that
+hold a value.  A term meets a value when their places in the document are within ``reach``
+characters, across line breaks: both are joined on all cells of that width that
+they touch, so a text of many values and words does not pair all with all.  c(t) is one
 pass over all documents, aggregated before the shuffle and before candidate terms are picked.
 
 The patterns are written with possessive quantifiers and, where a match can only
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudlens.llm.common import materialize, staged
+from fraudlens.llm.common import bounded, materialize, staged
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 PATTERNS = {
@@ -37,6 +38,7 @@ PATTERNS = {
 }
 WORD = r"\p{L}++"
 SUPPORT, REACH, GENERALISE, REMOVE = 5, 100, 0.5, 0.8
+KEY = ["doc_id", "row"]      # a document
 
 
 def _passes(kind: Column, value: Column) -> Column:
@@ -70,56 +72,80 @@ def _placed(found: DataFrame, keys: list[str]) -> DataFrame:
     return found.withColumn("end", end).withColumn("start", F.col("end") - F.length("value"))
 
 
-def base_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(spans, lines) of documents (doc_id, row, text).
+def _lines(texts: DataFrame) -> DataFrame:
+    """The lines of ``texts`` (KEY, text and others, one row a document), with ``line_no`` and ``line_start``."""
+    rest = [c for c in texts.columns if c != "text"]
+    lines = texts.select(*rest, F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    before = Window.partitionBy(*KEY).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    return lines.withColumn("line_start", F.sum(F.length("line") + 1).over(before) - F.length("line") - 1)
 
-    spans: doc_id, row, line_no, kind, value, start, end; lines: doc_id, row,
-    line_no, line_start, line of every line with a span.  No pattern matches a line break,
-    so a line's matches are the document's.
+
+def base_spans(docs: DataFrame) -> DataFrame:
+    """(KEY, kind, value, start, end) of the base spans of documents (KEY, text).
+
+    No pattern matches a line break, so a line's matches are the document's.
     """
     some = F.lit(False)
     for p in PATTERNS.values():
         some = some | F.col("text").rlike(p)
-    lines = (docs.where(some).groupBy("doc_id", "row").agg(F.first("text").alias("text"))
-             .select("doc_id", "row", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")))
-    before = Window.partitionBy("doc_id", "row").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    lines = lines.withColumn("line_start", F.sum(F.length("line") + 1).over(before) - F.length("line") - 1).where(
-        F.col("line").rlike("[0-9@]"))
+    lines = _lines(docs.where(some).groupBy(*KEY).agg(F.first("text").alias("text"))).where(F.col("line").rlike("[0-9@]"))
     tries = F.array(*[F.struct(F.lit(k).alias("kind"), _found(F.col("line"), p).alias("found"))
                       for k, p in PATTERNS.items()])
-    found = (lines.select("doc_id", "row", "line_no", "line_start", "line", F.explode(tries).alias("t"))
-             .select("doc_id", "row", "line_no", "line_start", "line", "t.kind", F.posexplode("t.found").alias("at", "m"))
-             .select("doc_id", "row", "line_no", "line_start", "line", "kind", "at", "m.gap", "m.value"))
-    spans = _placed(found, ["doc_id", "row", "line_no", "kind"]).where(_passes(F.col("kind"), F.col("value")))
-    spans = staged(spans.select("doc_id", "row", "line_no", "line_start", "line", "kind", "value", "start", "end"), "pii")
-    return (spans.drop("line", "line_start"),
-            spans.select("doc_id", "row", "line_no", "line_start", "line").dropDuplicates(["doc_id", "row", "line_no"]))
-
-
-def disclosing_terms(docs: DataFrame, spans: DataFrame, lines: DataFrame, support: int, reach: int,
-                     generalise: float) -> DataFrame:
-    """Occurrences of disclosing terms near the values they disclose: doc_id, row, start, end, disclosure."""
-    line_key = ["doc_id", "row", "line_no"]
-    words = (lines.select(*line_key, "line_start", F.posexplode(_found(F.col("line"), WORD)).alias("at", "m"))
-             .select(*line_key, "line_start", "at", "m.gap", "m.value"))
-    words = _placed(words, line_key).select(*line_key, "start", "end", F.lower("value").alias("term"))
-    cell = F.floor(F.col("start") / reach)
-    cells = F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: cell + i)
-    values = spans.select(*line_key, F.concat_ws(":", "kind", "value").alias("entity"),
-                          F.col("start").alias("v_start"), F.col("end").alias("v_end"),
-                          F.explode(cells).alias("cell"))
+    found = (lines.select(*KEY, "line_no", "line_start", F.explode(tries).alias("t"))
+             .select(*KEY, "line_no", "line_start", "t.kind", F.posexplode("t.found").alias("at", "m"))
+             .select(*KEY, "line_no", "line_start", "kind", "at", "m.gap", "m.value"))
+    spans = _placed(found, [*KEY, "line_no", "kind"]).where(_passes(F.col("kind"), F.col("value")))
+    return staged(spans.select(*KEY, "kind", "value", "start", "end"), "pii")
+
+
+def words_near(docs: DataFrame, spans: DataFrame, reach: int) -> DataFrame:
+    """(KEY, start, end, term) of the words in the lines from the first to the last value of a document, and ``reach`` beyond."""
+    band = bounded(materialize(spans.groupBy(*KEY).agg((F.min("start") - reach).alias("low"),
+                                                       (F.max("end") + reach).alias("high"))))
+    texts = docs.join(band, KEY).groupBy(*KEY).agg(*[F.first(c).alias(c) for c in ("text", "low", "high")])
+    lines = _lines(texts).where((F.col("line_start") < F.col("high"))
+                                & (F.col("line_start") + F.length("line") > F.col("low")))
+    words = (lines.select(*KEY, "line_no", "line_start", F.posexplode(_found(F.col("line"), WORD)).alias("at", "m"))
+             .select(*KEY, "line_no", "line_start", "at", "m.gap", "m.value"))
+    return _placed(words, [*KEY, "line_no"]).select(*KEY, "start", "end", F.lower("value").alias("term"))
+
+
+def meetings(words: DataFrame, spans: DataFrame, reach: int) -> DataFrame:
+    """(KEY, start, end, term, entities): words within ``reach`` characters of values, with those values.
+
+    Parts of a protected value are no terms of their own.  A word and a value
+    that share several cells meet in the first of them.
+    """
+    width = max(reach, 1)
+
+    def cells(start: Column, end: Column) -> Column:
+        return F.sequence(F.floor(start / width), F.floor((end - 1) / width))
+
+    words = words.withColumn("cells", cells(F.col("start"), F.col("end")))
+    words = words.select(*KEY, "start", "end", "term", F.col("cells")[0].alias("first"), F.explode("cells").alias("cell"))
+    values = spans.select(*KEY, F.concat_ws(":", "kind", "value").alias("entity"), F.col("start").alias("v_start"),
+                          F.col("end").alias("v_end"),
+                          cells(F.col("start") - reach, F.col("end") + reach).alias("cells"))
+    values = values.select(*KEY, "entity", "v_start", "v_end", F.col("cells")[0].alias("v_first"),
+                           F.explode("cells").alias("cell"))
     near = (F.col("start") < F.col("v_end") + reach) & (F.col("end") > F.col("v_start") - reach)
-    meets = words.withColumn("cell", cell).join(values, [*line_key, "cell"]).where(near)
-    # parts of a protected value are no terms of their own
-    inside = (meets.where((F.col("start") < F.col("v_end")) & (F.col("end") > F.col("v_start")))
-              .select(*line_key, "start", "end").distinct())
-    meets = staged(meets.select(*line_key, "start", "end", "term", "entity").distinct()
-                   .join(inside, [*line_key, "start", "end"], "left_anti"), "pii-meets")
+    once = F.col("cell") == F.greatest("first", "v_first")
+    inside = (F.col("start") < F.col("v_end")) & (F.col("end") > F.col("v_start"))
+    return (words.join(values, [*KEY, "cell"]).where(near & once).groupBy(*KEY, "start", "end", "term")
+            .agg(F.max(inside).alias("inside"), F.collect_set("entity").alias("entities")).where("NOT inside").drop("inside"))
+
 
+def disclosing_terms(docs: DataFrame, spans: DataFrame, support: int, reach: int, generalise: float) -> DataFrame:
+    """Occurrences of disclosing terms near the values they disclose: KEY, start, end, disclosure."""
+    meets = staged(meetings(words_near(docs, spans, reach), spans, reach), "pii-meets")
+    meets = meets.select(*KEY, "start", "end", "term", F.explode("entities").alias("entity"))
     together = materialize(meets.groupBy("entity", "term").agg(F.count_distinct("row").alias("c_te")))
     terms = materialize(together.select("term").distinct())
     small = F.broadcast if terms.count() <= 1_000_000 else (lambda df: df)
-    held = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0))).alias("term"))
+    # lower case may put marks between letters, so words are found first; not so in ASCII
+    found = F.when(F.octet_length("text") == F.char_length("text"), F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0)).otherwise(
+        F.transform(F.regexp_extract_all("text", F.lit(WORD), 0), F.lower))
+    held = docs.select(F.explode(F.array_distinct(found)).alias("term"))
     c_t = (held.groupBy("term").agg(F.count(F.lit(1)).alias("c_t")).where(F.col("c_t") >= support)
            .join(small(terms), "term"))
     c_e = (spans.groupBy(F.concat_ws(":", "kind", "value").alias("entity"))
@@ -130,7 +156,7 @@ def disclosing_terms(docs: DataFrame, spans: DataFrame, lines: DataFrame, suppor
     told = (together.join(c_t, "term").join(c_e, "entity")
             .select("entity", "term", F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0)).alias("disclosure"))
             .where(F.col("disclosure") >= generalise))
-    return (meets.join(told, ["entity", "term"]).groupBy("doc_id", "row", "start", "end")
+    return (meets.join(told, ["entity", "term"]).groupBy(*KEY, "start", "end")
             .agg(F.max("disclosure").alias("disclosure")))
 
 
@@ -146,14 +172,14 @@ def find_pii(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = documents.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
-    spans, lines = base_spans(docs)
-    terms = disclosing_terms(docs, spans, lines, support, reach, generalise)
+    spans = base_spans(docs)
+    terms = disclosing_terms(docs, spans, support, reach, generalise)
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
-    both = (spans.select("doc_id", "row", "kind", "start", "end", F.lit(1.0).alias("disclosure"))
-            .unionByName(terms.select("doc_id", "row", F.lit("term").alias("kind"), "start", "end", "disclosure"))
-            .groupBy("doc_id", "row")
+    both = (spans.select(*KEY, "kind", "start", "end", F.lit(1.0).alias("disclosure"))
+            .unionByName(terms.select(*KEY, F.lit("term").alias("kind"), "start", "end", "disclosure"))
+            .groupBy(*KEY)
             .agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), "start", "end", "kind", "disclosure"))).alias("s")))
-    both = both.select("doc_id", "row", F.transform("s", lambda x: F.struct(
+    both = both.select(*KEY, F.transform("s", lambda x: F.struct(
         x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
         x["disclosure"].alias("disclosure"))).alias("spans"))
     rows = docs.select("doc_id", "row")

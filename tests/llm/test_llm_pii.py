@@ -90,3 +90,27 @@ def test_a_value_of_a_single_document_is_disclosed(frame):
     got = terms_of(rows, pii.find_pii(frame(rows)))
     assert got.pop(2000) == {"falconer"}                    # 6 texts hold it; 4 hold osprey, all texts the rest
     assert not any(got.values())
+
+
+def test_words_meet_values_in_reach_across_lines_at_any_offset(frame):
+    r = random.Random(5)
+
+    def text():
+        words = ["".join(r.choice("abé") for _ in range(r.choice((1, 4, 9, 130)))) for _ in range(r.randint(5, 40))]
+        for _ in range(r.randint(1, 3)):
+            words.insert(r.randint(0, len(words)), r.choice(("m@x.org", "1.2.3.4", "k" * 230 + "@x.org", "4539 1488 0343 6467")))
+        return "".join(w + r.choice((" ", "\n", ". ", " " * r.randint(1, 120))) for w in words)
+
+    rows = [(i, text()) for i in range(80)]
+    docs = frame(rows, clash=False).select("doc_id", F.xxhash64("text").alias("row"), F.xxhash64(F.lit(17), "text").alias("twin"), "text")
+    spans = pii.base_spans(docs)
+    met = pii.meetings(pii.words_near(docs, spans, 100), spans, 100).collect()
+    ids = {r["row"]: r["doc_id"] for r in docs.collect()}
+    got = {(ids[m["row"]], m["start"], m["end"], e) for m in met for e in m["entities"]}
+    want = set()
+    for i, t in rows:
+        values = [(f"{k}:{t[a:b]}", a, b) for k, a, b in brute(t)]
+        for m in re.finditer(r"[^\W\d_]+", t):
+            if not any(m.start() < b and m.end() > a for _, a, b in values):
+                want |= {(i, m.start(), m.end(), e) for e, a, b in values if m.start() < b + 100 and m.end() > a - 100}
+    assert len(want) > 500 and got == want
