@@ -2,20 +2,20 @@ r"""Personal data: base patterns, and terms that disclose them by corpus co-occu
 
 Base spans (email, ip, card, phone) are the leftmost non-overlapping matches of
 each pattern that pass its check.  Around them the method looks for terms that give a
-protected value away: with ``c`` counts of documents, a term ``t`` near a value
+protected value away: with ``c`` counts of distinct texts, a term ``t`` near a value
 ``e`` discloses it by PMI / IC, where PMI = log2(c(t,e) N / (c(t) c(e))) and
 IC = log2(N / c(e)); 1 means the term reveals the value as well as the value itself.
 Terms at or above ``generalise`` become a placeholder, those at or above
 ``remove`` go.  A term needs ``support`` texts that hold it, anywhere in the corpus; a value
 needs no more than the one text it stands in, as most values are unique.
 
-DataFrame functions only.  Texts with a base match are grouped by document
+DataFrame functions only.  Copies of a text are read as one.  Texts with a base match are grouped
 (one exchange, which all later windows share) and cut into lines; matches get their places
 from running sums of the lengths of pieces and matches, and so do the words of the texts that
 hold a value.  A term meets a value when their places in the document are within ``reach``
 characters, across line breaks: both are joined on all cells of that width that
 they touch, so a text of many values and words does not pair all with all.  c(t) is one
-pass over all documents, aggregated before the shuffle and before candidate terms are picked.
+pass over all distinct texts, aggregated before the shuffle and before candidate terms are picked.
 
 The patterns are written with possessive quantifiers and, where a match can only
 begin at a run's start or after the previous match, an anchor saying so; both keep
@@ -38,7 +38,7 @@ PATTERNS = {
 }
 WORD = r"\p{L}++"
 SUPPORT, REACH, GENERALISE, REMOVE = 5, 100, 0.5, 0.8
-KEY = ["doc_id", "row"]      # a document
+KEY = ["row", "twin"]        # a text, by two hashes; copies of a text are one
 
 
 def _passes(kind: Column, value: Column) -> Column:
@@ -73,7 +73,7 @@ def _placed(found: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _lines(texts: DataFrame) -> DataFrame:
-    """The lines of ``texts`` (KEY, text and others, one row a document), with ``line_no`` and ``line_start``."""
+    """The lines of ``texts`` (KEY, text and others, one row a text), with ``line_no`` and ``line_start``."""
     rest = [c for c in texts.columns if c != "text"]
     lines = texts.select(*rest, F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     before = Window.partitionBy(*KEY).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
@@ -139,18 +139,19 @@ def disclosing_terms(docs: DataFrame, spans: DataFrame, support: int, reach: int
     """Occurrences of disclosing terms near the values they disclose: KEY, start, end, disclosure."""
     meets = staged(meetings(words_near(docs, spans, reach), spans, reach), "pii-meets")
     meets = meets.select(*KEY, "start", "end", "term", F.explode("entities").alias("entity"))
-    together = materialize(meets.groupBy("entity", "term").agg(F.count_distinct("row").alias("c_te")))
+    together = materialize(meets.groupBy("entity", "term").agg(F.count_distinct(*KEY).alias("c_te")))
     terms = materialize(together.select("term").distinct())
     small = F.broadcast if terms.count() <= 1_000_000 else (lambda df: df)
     # lower case may put marks between letters, so words are found first; not so in ASCII
     found = F.when(F.octet_length("text") == F.char_length("text"), F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0)).otherwise(
         F.transform(F.regexp_extract_all("text", F.lit(WORD), 0), F.lower))
-    held = docs.select(F.explode(F.array_distinct(found)).alias("term"))
+    texts = docs.groupBy(*KEY).agg(F.first("text").alias("text"))
+    held = texts.select(F.explode(F.array_distinct(found)).alias("term"))
     c_t = (held.groupBy("term").agg(F.count(F.lit(1)).alias("c_t")).where(F.col("c_t") >= support)
            .join(small(terms), "term"))
     c_e = (spans.groupBy(F.concat_ws(":", "kind", "value").alias("entity"))
-           .agg(F.count_distinct("row").alias("c_e")))
-    n = F.lit(docs.count())
+           .agg(F.count_distinct(*KEY).alias("c_e")))
+    n = F.lit(docs.select(*KEY).distinct().count())
     ic = F.log2(n / F.col("c_e"))
     pmi = F.log2(F.col("c_te") * n / (F.col("c_t") * F.col("c_e")))
     told = (together.join(c_t, "term").join(c_e, "entity")
@@ -171,7 +172,8 @@ def find_pii(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     result; other columns are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = documents.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
+    docs = documents.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("row"),
+                            F.xxhash64(F.lit(17), text).alias("twin"), text.alias("text"))
     spans = base_spans(docs)
     terms = disclosing_terms(docs, spans, support, reach, generalise)
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
@@ -179,13 +181,12 @@ def find_pii(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .unionByName(terms.select(*KEY, F.lit("term").alias("kind"), "start", "end", "disclosure"))
             .groupBy(*KEY)
             .agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), "start", "end", "kind", "disclosure"))).alias("s")))
-    both = both.select(*KEY, F.transform("s", lambda x: F.struct(
+    both = staged(both.select(*KEY, F.transform("s", lambda x: F.struct(
         x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
-        x["disclosure"].alias("disclosure"))).alias("spans"))
-    rows = docs.select("doc_id", "row")
-    same = rows["doc_id"].eqNullSafe(both["doc_id"]) & (rows["row"] == both["row"])
+        x["disclosure"].alias("disclosure"))).alias("spans")), "pii-spans")
     none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint,disclosure:double>>")
-    return rows.join(both, same, "left").select(rows["doc_id"], rows["row"], F.coalesce("spans", none).alias("spans"))
+    return (docs.select("doc_id", *KEY).join(both, KEY, "left")
+            .select("doc_id", "row", F.coalesce("spans", none).alias("spans")))
 
 
 def sanitise(text: Column, spans: Column, remove: float = REMOVE) -> Column:

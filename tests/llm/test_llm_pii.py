@@ -114,3 +114,13 @@ def test_words_meet_values_in_reach_across_lines_at_any_offset(frame):
             if not any(m.start() < b and m.end() > a for _, a, b in values):
                 want |= {(i, m.start(), m.end(), e) for e, a, b in values if m.start() < b + 100 and m.end() > a - 100}
     assert len(want) > 500 and got == want
+
+
+def test_copies_of_texts_change_no_disclosure(frame):
+    rows = [(i, f"the weather is fine today note {i}") for i in range(200)]
+    hot = [(1000 + i, f"the falconer wrote from boss@corp.example on day {i}") for i in range(5)]
+    copied = rows + [(2000 + 100 * k + i, t) for k, (_, t) in enumerate(hot) for i in range(50)] + [(None, hot[0][1])]
+    want = terms_of(rows + hot, pii.find_pii(frame(rows + hot)))
+    got = terms_of(copied, pii.find_pii(frame(copied)))
+    assert want[1000] == {"falconer", "wrote", "from", "on", "day"}
+    assert got[None] == want[1000] and all(got[2000 + 100 * k + i] == want[1000 + k] for k in range(5) for i in range(50))
