@@ -11,13 +11,16 @@ notices, adverts, forms, scripts, styles and reader comments go even where
 they are unique.  In a page without article, blocks that are neither decide by
 their runs alone.
 
-A host whose pages exceed ``shard_bytes`` is dealt into shards of about that
-size by a hash of the page, so no task holds more of a hot host; runs are
-then compared within a shard.
+A host whose pages exceed ``shard_bytes`` is not laid in one task.  Its repeated
+runs are found exactly over the whole host: every page gives its runs of ``RUN`` tokens as 128-bit
+hashes, which are aggregated by host before the shuffle and kept where two or more pages
+hold them; pages whose blocks the markup leaves open get theirs back.  Both ways
+decide alike.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import defaultdict
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudlens.llm.common import materialize
+from fraudlens.llm.common import materialize, staged
 from fraudlens.llm.url_filter import host_of
 
 RUN = 5                   # tokens: the shortest run that counts as repeated
@@ -171,7 +174,7 @@ def repeated(tokens: np.ndarray, page: np.ndarray, run: int = RUN) -> np.ndarray
 
 
 def main_texts(pages: list[tuple[int | None, str | None, str | None]]) -> Iterator[str]:
-    """The main text of each page (id, url, html) of one host or shard, in their order."""
+    """The main text of each page (id, url, html) of one host, in their order."""
     read = [blocks_of(h or "") for _, _, h in pages]
     number: defaultdict[str, int] = defaultdict()
     number.default_factory = number.__len__      # words are numbered as they come
@@ -185,22 +188,113 @@ def main_texts(pages: list[tuple[int | None, str | None, str | None]]) -> Iterat
         tokens.append(-1 - k)
         owner.append(who)
     covered = repeated(np.array(tokens, np.int64), np.array(owner, np.int64))
-    share = np.r_[0, np.cumsum(covered)]
     at = 0
     for blocks in read:
-        has_main = any(place == IN_MAIN for place, _ in blocks)
-        kept = []
-        for place, words in blocks:
-            boilerplate = share[at + len(words)] - share[at] >= COVERED * len(words)
-            at += len(words)
-            if boilerplate and place == IN_MAIN:
-                boilerplate = False          # exact check: shared passages and copies of an article stay
-            elif place == OUT or (has_main and place == OPEN):
-                boilerplate = True           # exact check: what the markup sets apart goes
-            if not boilerplate:
-                kept.append(" ".join(words))
-        at += 1
-        yield "\n".join(kept)
+        n = sum(len(words) for _, words in blocks)
+        yield main_text(blocks, covered[at:at + n])
+        at += n + 1
+
+
+def main_text(blocks: list[tuple[int, list[str]]], covered: np.ndarray) -> str:
+    """The main text of a page, given which of its tokens repeated runs cover."""
+    share, at = np.r_[0, np.cumsum(covered)], 0
+    has_main = any(place == IN_MAIN for place, _ in blocks)
+    kept = []
+    for place, words in blocks:
+        boilerplate = share[at + len(words)] - share[at] >= COVERED * len(words)
+        at += len(words)
+        if boilerplate and place == IN_MAIN:
+            boilerplate = False          # exact check: shared passages and copies of an article stay
+        elif place == OUT or (has_main and place == OPEN):
+            boilerplate = True           # exact check: what the markup sets apart goes
+        if not boilerplate:
+            kept.append(" ".join(words))
+    return "\n".join(kept)
+
+
+def undecided(blocks: list[tuple[int, list[str]]]) -> bool:
+    """True where the markup leaves blocks of a page to the runs."""
+    places = {place for place, _ in blocks}
+    return OPEN in places and IN_MAIN not in places
+
+
+def run_hashes(blocks: list[tuple[int, list[str]]], run: int = RUN) -> np.ndarray:
+    """Two 64-bit hashes of each run of ``run`` tokens of a page: an array of shape (2, runs)."""
+    seen: dict[str, bytes] = {}
+    tokens = [w for _, words in blocks for w in words]
+    for w in tokens:
+        if w not in seen:
+            seen[w] = hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    x = np.frombuffer(b"".join(map(seen.__getitem__, tokens)), "<u8").reshape(-1, 2).T
+    n = max(0, len(tokens) - run + 1)
+    out = np.zeros((2, n), np.uint64)
+    for j in range(run):
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + x[:, j:j + n]
+    return out.view(np.int64)
+
+
+def _hot_texts(rows: DataFrame, broadcast_rows: int) -> DataFrame:
+    """``RESULT`` of hosts of any size; rows: page_id, url, html, host."""
+    def small(df: DataFrame, n: int) -> DataFrame:
+        return F.broadcast(df) if n <= broadcast_rows else df
+
+    same = F.col("host").eqNullSafe(F.col("other"))
+    names = ("page_id", "url", "html")
+    page = F.struct(*names, *[F.col(c).isNull() for c in names])      # a hash skips NULL
+    rows = rows.select("*", F.xxhash64(page).alias("k1"), F.xxhash64(F.lit(17), page).alias("k2"))
+
+    def open_hosts(batches):
+        for b in batches:
+            keep = [undecided(blocks_of(h.as_py())) for h in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep, pa.bool_()))], names=["host"])
+
+    def hashes(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                blocks = blocks_of(b.column("html")[i].as_py())
+                got = np.unique(run_hashes(blocks), axis=1)
+                n = got.shape[1]
+                if n:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([b.column(c)[i].as_py()] * n, t) for c, t in kinds]
+                        + [pa.array(got[0]), pa.array(got[1]), pa.array([undecided(blocks)] * n, pa.bool_())],
+                        names=[*(c for c, _ in kinds), "w1", "w2", "open"])
+
+    def texts(batches):
+        for b in batches:
+            found = []
+            for h, r1, r2 in zip(b.column("html"), b.column("r1"), b.column("r2")):
+                blocks = blocks_of(h.as_py())
+                n = sum(len(words) for _, words in blocks)
+                covered = np.zeros(n, bool)
+                if r1.is_valid:
+                    known = set(zip(r1.as_py(), r2.as_py()))
+                    for j, w in enumerate(run_hashes(blocks).T.tolist()):
+                        if tuple(w) in known:
+                            covered[j:j + RUN] = True
+                found.append(main_text(blocks, covered))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("page_id"), b.column("url"), pa.array(found, pa.string()),
+                 pa.array([len(t) for t in found], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+
+    kinds = [("host", pa.string()), ("page_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())]
+    hosts = materialize(rows.select("host", "html").mapInArrow(open_hosts, "host string").distinct().toDF("other"))
+    hosts = small(hosts, hosts.count())
+    of_open = rows.join(hosts, same, "left_semi").select("host", "page_id", "k1", "k2", "html")
+    held = staged(of_open.mapInArrow(hashes, "host string, page_id bigint, k1 bigint, k2 bigint, w1 bigint, w2 bigint, open boolean"),
+                  "html-runs")
+    none = F.col("page_id").isNull().cast("int")
+    runs = staged(held.groupBy("host", "w1", "w2")
+                  .agg(F.min("page_id").alias("a"), F.max("page_id").alias("b"), F.min(none).alias("c"), F.max(none).alias("d"))
+                  .where("coalesce(a <> b, false) OR c <> d").select(F.col("host").alias("other"), F.col("w1").alias("x1"), F.col("w2").alias("x2")), "html-repeated")
+    runs = small(runs, runs.count())
+    needs = held.where("open").select("host", "w1", "w2", "k1", "k2")
+    mine = staged(needs.join(runs, same & (F.col("w1") == F.col("x1")) & (F.col("w2") == F.col("x2")), "left_semi")
+                  .groupBy("k1", "k2").agg(F.collect_set(F.struct("w1", "w2")).alias("r"))
+                  .select("k1", "k2", F.col("r.w1").alias("r1"), F.col("r.w2").alias("r2")), "html-page-runs")
+    many = mine.agg(F.sum(F.size("r1"))).first()[0] or 0
+    return (rows.join(small(mine, many), ["k1", "k2"], "left").select("page_id", "url", "html", "r1", "r2")
+            .mapInArrow(texts, RESULT))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -217,10 +311,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                         F.coalesce(F.col(html_col), F.lit("")).alias("html"), host_of(F.col(url_col)).alias("host"))
     hot = materialize(rows.groupBy("host").agg(F.sum(F.octet_length("html")).alias("bytes"))
                       .where(F.col("bytes") > shard_bytes)
-                      .select("host", F.ceil(F.col("bytes") / shard_bytes).cast("bigint").alias("shards")))
-    small = F.broadcast if hot.count() <= broadcast_rows else (lambda df: df)
-    dealt = rows.join(small(hot), "host", "left").withColumn(
-        "shard", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("shards", F.lit(1)))).drop("shards")
+                      .select(F.col("host").alias("other")))
+    n_hot = hot.count()
+    small = F.broadcast if n_hot <= broadcast_rows else (lambda df: df)
+    hot = small(hot)
+    same = F.col("host").eqNullSafe(F.col("other"))
+    cold = rows.join(hot, same, "left_anti")
 
     def run(group: pa.Table) -> pa.Table:
         ids, urls, texts = (group.column(c).to_pylist() for c in ("page_id", "url", "html"))
@@ -229,4 +325,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                          "text": pa.array(found, pa.string()),
                          "n_chars": pa.array([len(t) for t in found], pa.int64())})
 
-    return dealt.groupBy("host", "shard").applyInArrow(run, RESULT)
+    small_hosts = cold.groupBy("host").applyInArrow(run, RESULT)
+    if not n_hot:
+        return small_hosts
+    return small_hosts.unionByName(_hot_texts(rows.join(hot, same, "left_semi"), broadcast_rows))

@@ -66,3 +66,21 @@ def test_table_with_a_hot_host_nulls_and_repeated_rows(frame):
         assert sorted(((r["page_id"], r["text"]) for r in got), key=str) == want
         assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert extract(df.limit(0)).collect() == []
+
+
+def test_host_size_leaves_results_equal_on_pages_without_article(frame):
+    from pyspark.sql import functions as F
+    r = np.random.default_rng(8)
+    passages = [" ".join(f"p{k}w{j}" for j in range(6 + k % 5)) for k in range(40)]
+    rows = []
+    for i in range(80):
+        parts = [passages[int(r.integers(0, 40))] for _ in range(3)] + [" ".join(f"own{i}x{j}" for j in range(8))]
+        rows.append((i % 75, "".join(f"<p>{x}</p>" for x in parts) if i % 4 else f"<article><p>{parts[0]}</p></article>"))
+    rows += [(None, f"<p>{passages[0]}</p><p>last of all these pages</p>"), (None, f"<p>{passages[0]}</p>"), (300, "<p>a b</p>")]
+    df = frame(rows, id_col="page_id", text_col="html")
+    want = sorted(zip([i for i, _ in rows], main_texts([(i, None, h) for i, h in rows])), key=str)
+    for url in ("http://hot.com/", None):
+        table = df.withColumn("url", F.lit(url).cast("string"))
+        for shard_bytes, broadcast_rows in ((8 << 20, 10), (300, 10), (300, 100_000)):
+            got = extract(table, shard_bytes=shard_bytes, broadcast_rows=broadcast_rows).collect()
+            assert sorted(((p["page_id"], p["text"]) for p in got), key=str) == want
