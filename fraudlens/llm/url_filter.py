@@ -6,6 +6,8 @@ context gives the weight of its distinct continuations to the next shorter
 one, down to a uniform distribution).  Every other URL is accepted when the
 mean log-likelihood ratio per character reaches a threshold, calibrated on the
 ruled URLs as the point equally many standard deviations from both class means.
+Rules and models judge host and path only: query string and fragment are not read,
+so URLs that differ only there always get one verdict.
 
 Everything is DataFrame expressions.  The counts are one aggregation over all
 positions of all URLs with map-side combine; lower orders are derived from the
