@@ -70,7 +70,43 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
 FROM fate GROUP BY doc_id
 """
 
+# ---- filter audit: every order of the filters over counts by part and set of failed filters
+_OP13 = r"""
+WITH first AS (SELECT coalesce(text, '') AS t, min(doc_id) AS lo FROM documents GROUP BY 1),
+d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, lo,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents JOIN first ON first.t = coalesce(text, '')),
+mark AS (SELECT doc_id, max(coalesce(quality = 1, false)::INT) AS good, max(coalesce(toxic = 1, false)::INT) AS toxic FROM labels GROUP BY 1),
+judged AS (
+  SELECT part, concat(if(len(w) < 50, 'A', ''), if(100 * len(list_distinct(w)) < 65 * len(w), 'B', ''),
+                      if(100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t), 'C', ''),
+                      if(regexp_matches(t, '[#$%&*|]'), 'D', ''), if(coalesce(d.doc_id > lo, false), 'E', '')) AS bad,
+         coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM d LEFT JOIN mark ON mark.doc_id = d.doc_id),
+cell AS (SELECT part, bad, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY 1, 2),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT concat(a.f, b.f, c.f, d.f, e.f) AS o FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+step AS (SELECT o, k, o[k] AS f, substr(o, 1, k - 1) AS before FROM orders, range(1, 6) t(k)),
+found AS (
+  SELECT part, o AS filter_order, k::INT AS step, f,
+         sum(if(translate(bad, before || f, '') = bad, n, 0)) AS kept,
+         sum(if(translate(bad, before, '') = bad AND contains(bad, f), n, 0)) AS removed,
+         sum(if(translate(bad, before, '') <> bad AND contains(bad, f), n, 0)) AS redundant,
+         sum(if(bad = f, n, 0)) AS unique_fails,
+         sum(if(translate(bad, before, '') = bad AND contains(bad, f), good, 0)) AS good_lost,
+         sum(if(translate(bad, before, '') = bad AND contains(bad, f), toxic, 0)) AS toxic_lost
+  FROM cell, step GROUP BY ALL)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM found
+"""
+
 ORACLE = {
+    "op13_filter_audit": _OP13,
     "op1_line_dedup": _OP1,
     "op2_decontamination": _OP2,
     "op4_ngram_join": _OP4,

@@ -14,7 +14,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.llm import bpe, decontaminate, exact_dedup, html, line_dedup, ngram_join, pii, quality, url_filter, warc
+from fraudlens.llm import (bpe, decontaminate, exact_dedup, filter_audit, html, line_dedup, ngram_join, pii, quality,
+                           url_filter, warc)
 from fraudlens.llm.common import importable, table
 from fraudlens.llm.oracle import ORACLE
 
@@ -78,6 +79,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", F.col("_votes").alias("votes"), F.col("_score").alias("score"), F.col("_keep").alias("keep"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -94,7 +99,7 @@ def _ready(fn: QueryFn) -> QueryFn:
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: _ready(f) for f in (
         op1_line_dedup, op2_decontamination, op3_bpe, op4_ngram_join, op5_warc, op6_quality_classifier, op7_html_extraction, op8_pii,
-        op9_exact_dedup, op10_url_filters, pipeline)}
+        op9_exact_dedup, op10_url_filters, op13_filter_audit, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
