@@ -105,7 +105,28 @@ SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS remove
 FROM found
 """
 
+# ---- repeated passages: every 50-byte string (as hexadecimal digits) with the smallest id that holds it
+_OP11 = r"""
+WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS t FROM documents),
+win AS MATERIALIZED (SELECT doc_id, x, substr(t, 2 * x + 1, 100) AS s FROM (SELECT doc_id, t, unnest(range(0, len(t) // 2 - 49)) AS x FROM d)),
+least AS MATERIALIZED (SELECT s, min(doc_id) AS lo FROM win GROUP BY 1 HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, x FROM win JOIN least USING (s) WHERE doc_id > lo),
+edge AS (SELECT doc_id, x, coalesce(x > lag(x) OVER w + 50, true) AS new FROM gone WINDOW w AS (PARTITION BY doc_id ORDER BY x)),
+span AS (
+  SELECT doc_id, k, min(x) AS a, max(x) + 50 AS b
+  FROM (SELECT doc_id, x, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY x) AS k FROM edge) GROUP BY 1, 2),
+piece AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM span),
+cut AS (
+  SELECT doc_id, sum(b - a) AS n, count(*) AS c, string_agg(substr(t, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS head, max(b) AS last
+  FROM piece JOIN d USING (doc_id) GROUP BY 1)
+SELECT d.doc_id, len(t) // 2 AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(c, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(t, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
 ORACLE = {
+    "op11_suffix_dedup": _OP11,
     "op13_filter_audit": _OP13,
     "op1_line_dedup": _OP1,
     "op2_decontamination": _OP2,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlens.llm import (bpe, decontaminate, exact_dedup, filter_audit, html, line_dedup, ngram_join, pii, quality,
-                           token_alignment, url_filter, warc)
+                           suffix_dedup, token_alignment, url_filter, warc)
 from fraudlens.llm.common import importable, table
 from fraudlens.llm.oracle import ORACLE
 
@@ -79,6 +79,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", F.col("_votes").alias("votes"), F.col("_score").alias("score"), F.col("_keep").alias("keep"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str, a: str | None = None, b: str | None = None) -> DataFrame:
     return token_alignment.align(table(spark, sf_dir, "documents"), a or public_tokenizers.path("byte_bpe_50k.json"),
                                  b or public_tokenizers.path("piece_bpe_32k.model"))
@@ -104,7 +109,7 @@ def _ready(fn: QueryFn) -> QueryFn:
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: _ready(f) for f in (
         op1_line_dedup, op2_decontamination, op3_bpe, op4_ngram_join, op5_warc, op6_quality_classifier, op7_html_extraction, op8_pii,
-        op9_exact_dedup, op10_url_filters, op12_token_alignment,
+        op9_exact_dedup, op10_url_filters, op11_suffix_dedup, op12_token_alignment,
         op13_filter_audit, pipeline)}
 
 
