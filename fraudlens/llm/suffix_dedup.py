@@ -2,10 +2,10 @@ r"""Repeated-passage removal by sorting sampled suffixes and inducing the rest f
 
 A byte goes when a ``LENGTH``-byte string that covers it also starts in a document with a smaller id.
 
-1. Sample: of the 16-byte strings that start in a window of 50 bytes, the one with the least hash is its
+1. Sample: of the 24-byte strings in a window of 50 bytes, the one with the least hash is its
    anchor, the leftmost of equals.  The choice depends on the window's bytes alone, so equal windows have
-   equal anchors, and a text has about one anchor in 18 bytes.  Each anchor induces the run of
-   windows that chose it: at most 35, and their bytes are one region.
+   equal anchors, and a text has about one anchor in 14 bytes.  Each anchor induces the run of
+   windows that chose it: at most 27, and their bytes are one region.
 2. Anchors are aggregated over all documents to the smallest and largest id that hold them.  Anchors of one
    document induce nothing and leave here; a bitmap of fixed size, in which a wrong bit only
    lets an anchor through, spares the shuffle most of them.
@@ -13,7 +13,8 @@ A byte goes when a ``LENGTH``-byte string that covers it also starts in a docume
    windows of a class are settled for every document but its first: copies, however
    many, are one class, and no two of them are compared.
 4. Recursion into the anchors with several classes: the first document of each class is read again, its
-   region is taken apart into windows, and equal windows of different classes meet.  What the first
+   region is taken apart into windows, and equal windows of different classes meet: inside a row for
+   an anchor of up to ``ROW_CLASSES`` classes, by an aggregation of windows for one of more.  What the first
    document shares with a smaller one comes back as a bit mask of the class.
 5. Tuples meet their class, and the windows of a document are united and cut out of its text.
 
@@ -25,19 +26,17 @@ common-prefix values are needed for, and equal window names say just that.
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudlens.llm.common import staged
+from fraudlens.llm.common import bitmap_of, discard, in_bitmap, staged
 
-LENGTH, GRAM = 50, 16                  # bytes of a repeated string, and of an anchor
+LENGTH, GRAM = 50, 24                  # bytes of a repeated string, and of an anchor
 PLACES = LENGTH - GRAM + 1             # anchors to choose from in a window
+ROW_CLASSES = 64                       # regions of one anchor that are compared in one row: at most 5 KB
 CHUNK = 1 << 18                        # bytes that are hashed at once; longer documents come in overlapping parts
-BITS = 27                              # of the bitmap of shared anchors: 16 MB
-BUCKET = 1 << 15                       # bits in one row of it
 
 _TABLE = np.random.default_rng(50).integers(0, 1 << 64, 256, np.uint64)
 _ODD = np.random.default_rng(16).integers(0, 1 << 64, 12, np.uint64) | np.uint64(1)
@@ -52,13 +51,13 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def _grams(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the 16 and of the 50 bytes from each place on."""
+    """Hashes of the 24 and of the 50 bytes from each place on."""
     of = {1: _TABLE[data]}
     for k, n in enumerate((1, 2, 4, 8, 16)):
         of[2 * n] = of[n][:-n] * _ODD[k] + of[n][n:]
     size = len(data) - LENGTH + 1
     window = _mix((of[32][:size] * _ODD[8] + of[16][32:32 + size]) * _ODD[9] + of[2][48:48 + size])
-    return _mix(of[16]), window
+    return _mix(of[16][:-8] * _ODD[7] + of[8][16:]), window
 
 
 def _least(key: np.ndarray) -> np.ndarray:
@@ -136,13 +135,10 @@ def shared_anchors(rows: DataFrame) -> bytes:
                 yield pa.RecordBatch.from_arrays([_signed(gram), pa.array(holders)], names=["h", "id"])
 
     held = rows.mapInArrow(run, "h bigint, id bigint").groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    bit = F.col("h").bitwiseAND(F.lit((1 << BITS) - 1))
-    map_rows = (held.select(bit.alias("bit")).groupBy(F.shiftright("bit", 15).alias("bucket"))
-                .agg(F.bitmap_construct_agg((F.col("bit") % BUCKET)).alias("bits")).collect())     # BITS fixes their number
-    out = bytearray(1 << (BITS - 3))
-    for r in map_rows:
-        out[r["bucket"] * (BUCKET // 8):(r["bucket"] + 1) * (BUCKET // 8)] = r["bits"]
-    return bytes(out)
+    held = staged(held.select("h"), "suffix-shared")
+    bitmap = bitmap_of(held, "h")
+    discard(held)
+    return bitmap
 
 
 def suffix_tuples(rows: DataFrame, bitmap: bytes) -> DataFrame:
@@ -155,8 +151,7 @@ def suffix_tuples(rows: DataFrame, bitmap: bytes) -> DataFrame:
             ids, texts = (b.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
             for numbers, offsets, places, data, inside in chunks(b.column(2)):
                 first, count, gram, region, _ = anchors(data, inside)
-                bit = (gram & np.uint64((1 << BITS) - 1)).astype(np.int64)
-                keep = (seen[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+                keep = in_bitmap(seen, gram)
                 first, count, gram, region = first[keep], count[keep], gram[keep], region[keep]
                 part = np.searchsorted(places, first, "right") - 1
                 yield pa.RecordBatch.from_arrays(
@@ -167,37 +162,89 @@ def suffix_tuples(rows: DataFrame, bitmap: bytes) -> DataFrame:
     return staged(rows.mapInArrow(run, "h bigint, r bigint, id bigint, row bigint, x bigint, m int"), "suffix-tuples")
 
 
-def class_masks(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """(h, r, mask): windows of a class's first document that a smaller document holds in another class; bit j is window j."""
-    spread = classes.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("lo").alias("least"), F.max("hi").alias("most"))
-    several = spread.where("c > 1 AND least < most").select("h", "least")
-    # the class of the smallest document needs no mask, but its windows are what the others are compared with
-    wanted = (classes.join(several, "h").groupBy(F.col("lo").alias("id"), "row")
-              .agg(F.collect_list(F.struct("h", "r", "x", "m")).alias("runs")))
+def regions(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(c, h, id, bytes, n): the region of each class that shares its anchor with n - 1 others, read from its first document."""
+    spread = classes.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("least"), F.max("hi").alias("most"))
+    several = spread.where("n > 1 AND least < most").select("h", "n")
+    wanted = staged(classes.join(several, "h").groupBy(F.col("lo").alias("id"), "row")
+                    .agg(F.collect_list(F.struct("c", "h", "x", "m", "n")).alias("runs")), "suffix-wanted")
 
     def run(batches):
         for b in batches:
             for doc_id, text, runs in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
-                data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
-                of = {name: runs.values.field(name).to_numpy() for name in ("h", "r", "x", "m")}
-                for at in range(0, len(of["x"]), 1 << 14):
-                    h, r, x, m = (of[k][at:at + (1 << 14)] for k in ("h", "r", "x", "m"))
-                    own = np.repeat(np.arange(len(x)), m)
-                    j = np.arange(len(own)) - np.repeat(np.cumsum(m) - m, m)
-                    # regions laid side by side: windows that cross two of them are not read
-                    sizes = (m + LENGTH - 1).astype(np.int64)
-                    base = np.cumsum(sizes) - sizes
-                    flat = np.repeat(x - base, sizes) + np.arange(int(sizes.sum()))
-                    window = _grams(data[flat])[1][base[own] + j]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[own]), pa.array(r[own]), _signed(window), pa.array(np.full(len(own), doc_id)), pa.array(j.astype(np.int32))],
-                        names=["h", "r", "w", "id", "j"])
-
-    windows = staged(rows.join(wanted, ["id", "row"]).select("id", "text", "runs")
-                     .mapInArrow(run, "h bigint, r bigint, w bigint, id bigint, j int"), "suffix-windows")
-    first = windows.groupBy("h", "w").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h", "w", "lo")
+                data = text.as_py().encode()
+                c, h, x, m, n = (runs.values.field(name) for name in ("c", "h", "x", "m", "n"))
+                cut = [data[s:s + k + LENGTH - 1] for s, k in zip(x.to_pylist(), m.to_pylist())]
+                yield pa.RecordBatch.from_arrays([c, h, pa.array([doc_id] * len(cut), pa.int64()), pa.array(cut, pa.binary()), n],
+                                                 names=["c", "h", "id", "bytes", "n"])
+
+    found = staged(rows.join(wanted, ["id", "row"]).select("id", "text", "runs")
+                   .mapInArrow(run, "c bigint, h bigint, id bigint, bytes binary, n bigint"), "suffix-regions")
+    discard(wanted)
+    return found
+
+
+def windows_of(held: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the region, place in it, hash) of each window of the regions."""
+    sizes = np.array([len(r) for r in held], np.int64)
+    base, m = np.cumsum(sizes) - sizes, sizes - LENGTH + 1
+    own = np.repeat(np.arange(len(m)), m)
+    j = np.arange(len(own)) - np.repeat(np.cumsum(m) - m, m)
+    # regions lie side by side: windows that cross two of them are not read
+    return own, j, _grams(np.frombuffer(b"".join(held), np.uint8))[1][base[own] + j]
+
+
+def induced(regions: DataFrame, names: list[str]) -> DataFrame:
+    """The windows of each region, their hash ``w`` and place ``j`` in it among the columns ``names``."""
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 1 << 14):
+                part = b.slice(at, 1 << 14)
+                own, j, window = windows_of(part.column(3).to_pylist())
+                of = {name: part.column(k).to_numpy()[own] for k, name in enumerate(("c", "h", "id"))}
+                of |= {"w": window.view(np.int64), "j": j.astype(np.int32)}
+                yield pa.RecordBatch.from_arrays([pa.array(of[n]) for n in names], names=names)
+
+    return regions.mapInArrow(run, ", ".join(f"{n} {'int' if n == 'j' else 'bigint'}" for n in names))
+
+
+def row_masks(regions: DataFrame) -> DataFrame:
+    """(c, mask) for anchors of few classes: all of them meet in one row."""
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 1 << 11):
+                lists = b.column(0).slice(at, 1 << 11)
+                held = lists.flatten()
+                c, doc_id = held.field("c").to_numpy(), held.field("id").to_numpy()
+                sizes = np.diff(lists.offsets.to_numpy())
+                anchor = np.repeat(np.arange(len(sizes)), sizes)
+                own, j, window = windows_of(held.field("bytes").to_pylist())
+                order = np.lexsort((doc_id[own], window, anchor[own]))
+                new = np.flatnonzero(np.r_[True, (np.diff(anchor[own[order]]) != 0) | (np.diff(window[order].view(np.int64)) != 0)])
+                least = np.repeat(doc_id[own[order[new]]], np.diff(np.r_[new, len(order)]))
+                gone = order[doc_id[own[order]] > least]
+                mask = np.zeros(len(c), np.int64)
+                np.bitwise_or.at(mask, own[gone], np.int64(1) << j[gone])
+                some = np.flatnonzero(mask)
+                yield pa.RecordBatch.from_arrays([pa.array(c[some]), pa.array(mask[some])], names=["c", "mask"])
+
+    return (regions.groupBy("h").agg(F.collect_list(F.struct("c", "id", "bytes")).alias("held")).select("held")
+            .mapInArrow(run, "c bigint, mask bigint"))
+
+
+def class_masks(regions: DataFrame) -> DataFrame:
+    """(c, mask): windows of a class's first document that a smaller document holds in another class; bit j is window j."""
+    few, many = regions.where(F.col("n") <= ROW_CLASSES), regions.where(F.col("n") > ROW_CLASSES)
+    first = staged(induced(many, ["h", "w", "id"]).groupBy("h", "w").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+                   .where("lo < hi").select("h", "w", "lo"), "suffix-windows")
     one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("j"))
-    return windows.join(first, ["h", "w"]).where("id > lo").groupBy("h", "r").agg(F.bit_or(one).alias("mask"))
+    shared = (induced(many, ["c", "h", "w", "id", "j"]).join(first, ["h", "w"]).where("id > lo")
+              .groupBy("c").agg(F.bit_or(one).alias("mask")))
+    masks = staged(row_masks(few).unionByName(shared), "suffix-masks")
+    discard(first)
+    return masks
 
 
 def repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,14 +252,18 @@ def repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = _rows(documents, id_col, text_col).where("id IS NOT NULL")
     tuples = suffix_tuples(rows, shared_anchors(rows))
     classes = staged(tuples.groupBy("h", "r").agg(F.min(F.struct("id", "row", "x", "m")).alias("first"), F.max("id").alias("hi"))
-                     .select("h", "r", F.col("first.id").alias("lo"), "hi", "first.row", "first.x", "first.m"), "suffix-classes")
-    masks = class_masks(rows, classes)
-    decided = (classes.select("h", "r", "lo", "hi").join(masks, ["h", "r"], "left").where("hi > lo OR mask IS NOT NULL")
-               .select("h", "r", "lo", "mask"))
+                     .select("h", "r", F.col("first.id").alias("lo"), "hi", "first.row", "first.x", "first.m")
+                     .withColumn("c", F.monotonically_increasing_id()), "suffix-classes")
+    cut = regions(rows, classes)
+    masks = class_masks(cut)
+    decided = staged(classes.select("c", "h", "r", "lo", "hi").join(masks, "c", "left").where("hi > lo OR mask IS NOT NULL")
+                     .select("h", "r", "lo", "mask"), "suffix-decided")
+    discard(classes, cut, masks)
     whole = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("m")) - 1
     bits = F.when(F.col("id") > F.col("lo"), whole).otherwise(F.col("mask"))
-    return (tuples.join(decided, ["h", "r"]).select("id", "row", "x", bits.alias("bits")).where("bits IS NOT NULL")
-            .groupBy("id", "row").agg(F.collect_list(F.struct("x", "bits")).alias("runs")))
+    runs = staged(tuples.join(decided, ["h", "r"]).select("id", "row", "x", bits.alias("bits")).where("bits IS NOT NULL"), "suffix-runs")
+    discard(tuples, decided)
+    return runs.groupBy("id", "row").agg(F.collect_list(F.struct("x", "bits")).alias("runs"))
 
 
 def _rows(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -54,8 +54,9 @@ def corpus(vocabulary, n, seed=1):
     return list(zip(ids, texts))
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_equals_brute_force(frame, vocabulary, seed):
+@pytest.mark.parametrize("seed, row_classes", [(1, 64), (2, 64), (3, 1), (4, 3)])
+def test_equals_brute_force(frame, vocabulary, monkeypatch, seed, row_classes):
+    monkeypatch.setattr(suffix_dedup, "ROW_CLASSES", row_classes)
     check(frame, corpus(vocabulary, 60, seed))
 
 
@@ -81,7 +82,7 @@ def test_a_long_text_comes_in_parts(frame, vocabulary, monkeypatch):
     rows = [(1, long), (2, "start " + long[a:a + 70] + " end"), (3, long), (4, long[:1000] + "X" + long[1000:3000])]
     got = {r["doc_id"]: r for r in remove_repeats(frame(rows)).collect()}
     assert (got[1]["n_removed"], got[3]["n_removed"], got[3]["n_spans"]) == (0, len(long), 1)
-    assert [tuple(s) for s in got[2]["spans"]] == [(6, 76)] or got[2]["n_removed"] >= 70
+    assert [tuple(s) for s in got[2]["spans"]] == [(6, 76)]
     assert bytes(got[4]["kept"]).decode() == "X"
 
 
