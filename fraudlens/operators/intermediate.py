@@ -126,10 +126,14 @@ def customer_spend_agg(stg_txn: DataFrame, ref_date: Column | None = None) -> Da
     )
 
 
-def int_customer_spend_profile(stg_txn: DataFrame, stg_customers: DataFrame) -> DataFrame:
-    """Customers ⟕ spend aggregate; customers without COMPLETED rows keep NULLs."""
-    ref = latest_txn_date(stg_txn)
-    agg = customer_spend_agg(stg_txn, ref)
+def int_customer_spend_profile(stg_txn: DataFrame | None, stg_customers: DataFrame, agg: DataFrame | None = None,
+                               ref: Column | None = None) -> DataFrame:
+    """Customers ⟕ spend aggregate; customers without COMPLETED rows keep NULLs.
+
+    ``agg`` and ``ref``: the aggregate and the reference date, where they are known already.
+    """
+    ref = latest_txn_date(stg_txn) if ref is None else ref
+    agg = customer_spend_agg(stg_txn, ref) if agg is None else agg
     cu = stg_customers.select("customer_id", "country", "age_band", "risk_tier", "signup_date")
     return cu.join(agg, "customer_id", "left").select(
         "customer_id", "country", "age_band", "risk_tier", "signup_date",
@@ -189,8 +193,8 @@ def merchant_p95(agg: DataFrame, p: float = C.P95, approximate: bool = False,
 
 
 def int_merchant_risk_score(
-    stg_txn: DataFrame, stg_merchants: DataFrame, p: float = C.P95, checkpoint: bool = True,
-    approximate_percentiles: bool = False,
+    stg_txn: DataFrame | None, stg_merchants: DataFrame, p: float = C.P95, checkpoint: bool = True,
+    approximate_percentiles: bool = False, agg: DataFrame | None = None,
 ) -> DataFrame:
     """Merchants ⟕ per-merchant aggregate, flagged against exact 95th percentiles.
 
@@ -198,7 +202,7 @@ def int_merchant_risk_score(
     materialised once (reliable checkpoint) so the fact is scanned a single
     time although the percentile passes and the final join all read it.
     """
-    agg = merchant_agg(stg_txn)
+    agg = merchant_agg(stg_txn) if agg is None else agg
     if checkpoint:
         agg = materialize(agg)
     p95 = merchant_p95(agg, p, approximate_percentiles).select(F.struct("p95_fraud_rate", "p95_velocity")).scalar()

@@ -161,3 +161,83 @@ def test_relation_diff_counts_rows_as_bags(spark):
     a = spark.createDataFrame([(1, None), (1, None), (2, "x"), (3, "y")], "k int, v string")
     b = spark.createDataFrame([(1, None), (2, "z")], "k int, v string")
     assert _diff(a, b) == (3, 1) and _diff(a, a) == (0, 0) and _diff(a.limit(0), b) == (0, 2)
+
+
+def test_a_batch_opens_only_the_days_of_its_keys(spark, tmp_dir):
+    INC.upsert(spark, _fact(spark, [txn(f"T{i}", date=f"2024-11-{1 + i % 28:02d}") for i in range(280)]), tmp_dir)
+    out = INC.upsert(spark, _fact(spark, [txn("T3", date="2024-12-01"), txn("new", date="2024-12-01")]), tmp_dir)
+    assert out["opened_partitions"] == ["2024-11-04", "2024-12-01"] == out["touched_partitions"]
+    # the index still names the day that T3 has left: it is opened, found to hold no key of the batch, and not rewritten
+    out = INC.upsert(spark, _fact(spark, [txn("T3", date="2024-12-02")]), tmp_dir)
+    assert out["opened_partitions"] == ["2024-11-04", "2024-12-01", "2024-12-02"]
+    assert out["touched_partitions"] == ["2024-12-01", "2024-12-02"]
+    INC.rebuild_key_index(spark, tmp_dir)
+    out = INC.upsert(spark, _fact(spark, [txn("T3", date="2024-12-03")]), tmp_dir)
+    assert out["opened_partitions"] == ["2024-12-02", "2024-12-03"]
+    rows = [(r.transaction_id, str(r.transaction_date)) for r in INC.read_table(spark, tmp_dir).collect()]
+    assert len(rows) == 281 and ("T3", "2024-12-03") in rows
+
+
+def test_equal_hashes_of_other_keys_open_a_day_in_vain(spark, tmp_dir, monkeypatch):
+    def few_names(rows, keys, partition_col):
+        name = F.pmod(F.xxhash64(*keys), F.lit(3))
+        return rows.select(name.alias("name"), F.col(partition_col).alias("day"), F.pmod(name, F.lit(2)).cast("int").alias("bucket"))
+
+    monkeypatch.setattr(INC, "_index_entries", few_names)
+    first = [txn(f"T{i}", date=f"2024-12-{1 + i % 20:02d}") for i in range(60)]
+    INC.upsert(spark, _fact(spark, first), tmp_dir)
+    out = INC.upsert(spark, _fact(spark, [txn("T5", date="2024-12-25", amount=3.0)]), tmp_dir)
+    assert len(out["opened_partitions"]) > 3 and out["touched_partitions"] == ["2024-12-06", "2024-12-25"]
+    assert INC.read_table(spark, tmp_dir).count() == 60
+
+
+def test_a_table_without_an_index_gets_one(spark, tmp_dir):
+    fct = _fact(spark, [txn("A", date="2024-12-20"), txn("B", date="2024-12-21")])
+    INC.write_partitioned(fct, tmp_dir)
+    INC.save_schema(spark, tmp_dir, fct.schema)
+    assert INC.upsert(spark, _fact(spark, [txn("A", date="2024-12-22")]), tmp_dir)["emptied_partitions"] == ["2024-12-20"]
+    assert sorted((r.transaction_id, str(r.transaction_date)) for r in INC.read_table(spark, tmp_dir).collect()) == [
+        ("A", "2024-12-22"), ("B", "2024-12-21")]
+
+
+@pytest.mark.parametrize("lost", [[], ["2024-12-20"], ["2024-12-20", "2024-12-22", "2024-12-23"]])
+def test_a_crash_inside_the_swap_loses_no_row(spark, tmp_dir, monkeypatch, lost):
+    base = [txn("A", date="2024-12-20"), txn("B", date="2024-12-20"), txn("C", date="2024-12-21"), txn("D", date="2024-12-22")]
+    INC.upsert(spark, _fact(spark, base), tmp_dir)
+    batch = _fact(spark, [txn("A", date="2024-12-23"), txn("D", date="2024-12-23")])
+
+    def crash(spark, path):
+        INC._drop_partition_dirs(spark, path, "transaction_date", lost)     # days gone, their new files not there yet
+        raise RuntimeError("driver lost")
+
+    swap, calls = INC.finish_swap, []
+    monkeypatch.setattr(INC, "finish_swap", lambda s, p: calls.append(1) or (swap(s, p) if len(calls) == 1 else crash(s, p)))
+    with pytest.raises(RuntimeError):
+        INC.upsert(spark, batch, tmp_dir)
+    expected = [("A", "2024-12-23"), ("B", "2024-12-20"), ("C", "2024-12-21"), ("D", "2024-12-23")]
+
+    def rows():
+        return sorted((r.transaction_id, str(r.transaction_date)) for r in INC.read_table(spark, tmp_dir).collect())
+
+    assert rows() == expected                      # readers see the whole swap already
+    monkeypatch.setattr(INC, "finish_swap", swap)
+    INC.upsert(spark, _fact(spark, [txn("E", date="2024-12-24")]), tmp_dir)
+    assert rows() == [*expected, ("E", "2024-12-24")]
+    assert INC._open_swap(spark, tmp_dir) is None
+
+
+def test_a_rewrite_without_a_journal_does_not_count(spark, tmp_dir, monkeypatch):
+    INC.upsert(spark, _fact(spark, [txn("A", date="2024-12-20")]), tmp_dir)
+    write = INC.write_partitioned
+
+    def crash(df, path, *args):
+        write(df, path, *args)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(INC, "write_partitioned", crash)
+    with pytest.raises(RuntimeError):
+        INC.upsert(spark, _fact(spark, [txn("A", date="2024-12-20", amount=7.0)]), tmp_dir)
+    monkeypatch.setattr(INC, "write_partitioned", write)
+    assert [float(r.amount) for r in INC.read_table(spark, tmp_dir).collect()] == [10.0]
+    INC.upsert(spark, _fact(spark, [txn("B", date="2024-12-21")]), tmp_dir)
+    assert INC.read_table(spark, tmp_dir).count() == 2
