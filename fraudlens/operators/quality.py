@@ -7,8 +7,8 @@ summary table ``(check_id, model, column_name, test, failures, status)``:
 * row-level checks (``not_null``, ``accepted_values``, ``accepted_range``) of
   one table are fused into a single aggregate — one scan per table whatever
   the number of checks;
-* ``unique`` is a ``groupBy`` on the column with map-side partial counts
-  (a hot duplicated value costs one row per map task);
+* all ``unique`` checks share one aggregation by (check, value) with map-side
+  partial counts (a hot duplicated value costs one row per map task);
 * ``relationships`` is a left-anti join from child to the parent keys, with
   the parent broadcast only under a proven row bound.
 """
@@ -16,6 +16,7 @@ summary table ``(check_id, model, column_name, test, failures, status)``:
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -131,6 +132,14 @@ class Check:
         return f"{self.test}:{self.model}.{self.column}"
 
 
+def repeated_values(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """(i, failures) of each ``unique`` check i that fails: one shuffle for the keys of all tables."""
+    values = [tables[c.model].select(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("v")).where("v IS NOT NULL")
+              for i, c in enumerate(checks)]
+    return (reduce(DataFrame.unionAll, values).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            .groupBy("i").agg(F.count(F.lit(1)).alias("failures")))
+
+
 ROW_TESTS = ("not_null", "accepted_values", "accepted_range")
 
 
@@ -170,15 +179,19 @@ def run_checks(
             for i, c in enumerate(chks)
         ])
         parts.append(wide.select(F.explode(rows).alias("r")).select("r.*"))
+    keys = [c for c in checks if c.test == "unique"]
+    if keys:
+        found = repeated_values(tables, keys).agg(F.collect_list(F.struct("i", "failures")).alias("found"))
+        rows = F.array(*[
+            F.struct(*_summary(c.check_id, c.model, c.column, c.test, F.coalesce(
+                F.get(F.filter("found", lambda x, i=i: x["i"] == i), F.lit(0))["failures"], F.lit(0)))) for i, c in enumerate(keys)])
+        parts.append(found.select(F.explode(rows).alias("r")).select("r.*"))
     for chk in checks:
-        if chk.test == "unique":
-            failures = unique(tables[chk.model], chk.column).agg(F.count(F.lit(1)).alias("n"))
-        elif chk.test == "relationships":
-            failures = relationships(
-                tables[chk.model], chk.column, tables[chk.parent], chk.parent_column, max_broadcast_rows
-            ).agg(F.count(F.lit(1)).alias("n"))
-        else:
+        if chk.test != "relationships":
             continue
+        failures = relationships(
+            tables[chk.model], chk.column, tables[chk.parent], chk.parent_column, max_broadcast_rows
+        ).agg(F.count(F.lit(1)).alias("n"))
         parts.append(failures.select(*_summary(chk.check_id, chk.model, chk.column, chk.test, F.col("n"))))
     out = parts[0]
     for p in parts[1:]:

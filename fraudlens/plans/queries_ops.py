@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fraudlens.functions import columns as C
 from fraudlens.operators import intermediate as I
 from fraudlens.operators import marts as M
+from fraudlens.operators import monthly as MM
 from fraudlens.operators import quality as Q
 from fraudlens.operators import reports as R
 from fraudlens.plans import incremental as INC
@@ -351,6 +352,69 @@ def u2_relation_diff(spark, sf_dir):
     return INC.relation_diff(_stale_snapshot(fct), fct)
 
 
+_VALUES = [c for c in M.FACT_COLUMNS if c != "transaction_id"]
+_BOTH = "FROM stale a JOIN fct b USING (transaction_id)"
+_CHANGED = "(SELECT count(*) " + _BOTH + " WHERE {})"
+
+
+@register("u2_compare_by_key", q("\nUNION ALL\n".join([
+    f"SELECT '{kind}' AS kind, CAST(NULL AS VARCHAR) AS column_name, CAST({n} AS BIGINT) AS rows" for kind, n in (
+        ("only_left", "(SELECT count(*) FROM stale WHERE transaction_id NOT IN (SELECT transaction_id FROM fct))"),
+        ("only_right", "(SELECT count(*) FROM fct WHERE transaction_id NOT IN (SELECT transaction_id FROM stale))"),
+        ("repeated_left", "(SELECT count(*) FROM (SELECT 1 FROM stale GROUP BY transaction_id HAVING count(*) > 1))"),
+        ("repeated_right", "(SELECT count(*) FROM (SELECT 1 FROM fct GROUP BY transaction_id HAVING count(*) > 1))"),
+        ("changed", _CHANGED.format(" OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in _VALUES))))] + [
+    f"SELECT 'changed' AS kind, '{c}' AS column_name, " + _CHANGED.format(f"a.{c} IS DISTINCT FROM b.{c}") + " AS rows" for c in _VALUES]), _STALE))
+def u2_compare_by_key(spark, sf_dir):
+    """Yesterday's table against today's: missing days by key, and the column that the lookback corrects."""
+    fct = materialize(models(spark, sf_dir).fct_transactions)
+    return INC.compare_tables(_stale_snapshot(fct), fct, "transaction_id")
+
+
+@register("i8_key_index_moves", q("SELECT * FROM fct"))
+def i8_key_index_moves(spark, sf_dir):
+    """Rows of ten days move to one day and back: the last batch finds them through stale and live entries of the key index."""
+    fct = materialize(models(spark, sf_dir).fct_transactions)
+    path = scratch_path(spark, f"moves-{uuid.uuid4().hex}")
+    day, as_of = F.col("transaction_date"), F.lit(AS_OF).cast("date")
+    some = fct.where(day.between(F.date_sub(as_of, 40), F.date_sub(as_of, 30)))
+    for batch in (fct, some.withColumn("transaction_date", F.date_sub(as_of, 60)), some.withColumn("transaction_date", F.date_sub(as_of, 61)), some):
+        INC.upsert(spark, batch, path)
+    return INC.read_table(spark, path).select(*M.FACT_COLUMNS)
+
+
+@register("a9_profile_from_months", q("SELECT * FROM profile"))
+def a9_profile_from_months(spark, sf_dir):
+    """M6 from mergeable months: sums of partial aggregates, distinct counts over links, the last 31 days for the windows."""
+    m = models(spark, sf_dir)
+    stg = materialize(m.stg_transactions)
+    ref = I.latest_txn_date(stg)
+    totals = MM.customer_totals(MM.customer_month(stg), MM.links_month(stg), stg, ref)
+    return I.int_customer_spend_profile(stg, m.stg_customers, totals, ref)
+
+
+def _three_increments(spark, sf_dir):
+    """Three daily runs over a landing folder that grows, in which the second run finds a corrected month."""
+    m, base = models(spark, sf_dir), scratch_path(spark, f"months-{uuid.uuid4().hex}")
+    raw, day = materialize(m.raw["transactions"]), F.col("transaction_date")
+    for name in ("customers", "merchants", "cards"):
+        m.raw[name].write.parquet(f"{base}/raw/{name}")
+    wrong = F.when(F.substring(day, 1, 7) == "1995-03", F.lit("DECLINED")).otherwise(F.col("status"))
+    steps = (raw.where(day < "1997").withColumn("status", wrong),
+             raw.where(((day >= "1997") & (day < "2000")) | (F.substring(day, 1, 7) == "1995-03")), raw.where((day >= "2000") | day.isNull()))
+    for step in steps:
+        (step.hint("rebalance", "transaction_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("transaction_date").parquet(f"{base}/raw/transactions"))
+        sources = RawSources.from_dir(spark, f"{base}/raw", fmt="parquet")
+        runs.write_dimensions(spark, FraudModels(sources, as_of=AS_OF, audit=False), f"{base}/raw", f"{base}/marts", "parquet")
+    return f"{base}/marts"
+
+
+@register("i9_state_after_increments", q("SELECT * FROM dim_customers"))
+def i9_state_after_increments(spark, sf_dir):
+    return spark.read.parquet(f"{_three_increments(spark, sf_dir)}/{runs.DIM_CUSTOMERS}")
+
+
 # --------------------------------------------------------------------- S12
 _INPUTS = ("lineitem", "orders", "customer", "supplier", "nation")
 

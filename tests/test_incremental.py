@@ -241,3 +241,16 @@ def test_a_rewrite_without_a_journal_does_not_count(spark, tmp_dir, monkeypatch)
     assert [float(r.amount) for r in INC.read_table(spark, tmp_dir).collect()] == [10.0]
     INC.upsert(spark, _fact(spark, [txn("B", date="2024-12-21")]), tmp_dir)
     assert INC.read_table(spark, tmp_dir).count() == 2
+
+
+def test_compare_by_key(spark):
+    a = spark.createDataFrame([(1, "x", 1.0), (2, "y", None), (3, "z", 3.0), (4, None, 4.0), (5, "d", 5.0), (5, "d", 5.0), (None, "n", 0.0)],
+                              "k int, s string, v double")
+    b = spark.createDataFrame([(1, "x", 1.0, True), (2, "y", 2.0, True), (4, "q", 5.0, True), (5, "d", 5.0, True), (6, "new", 6.0, True),
+                               (None, "n", 0.0, True)], "k int, s string, v double, extra boolean")
+    got = {(r.kind, r.column_name): r.rows for r in INC.compare_tables(a, b, "k", buckets=8).collect()}
+    assert got == {("only_left", None): 1, ("only_right", None): 1, ("repeated_left", None): 1, ("repeated_right", None): 0,
+                   ("changed", None): 2, ("changed", "s"): 1, ("changed", "v"): 2, ("column_right", "extra"): None}
+    same = {(r.kind, r.column_name): r.rows for r in INC.compare_tables(a, a, "k").collect()}
+    assert set(same.values()) == {0}
+    assert INC.differing_buckets(*(INC._bucketed(x, ["k"], ["k", "s", "v"], 64) for x in (a, a.repartition(3))), ["k", "s", "v"]) == []

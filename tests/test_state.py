@@ -1,0 +1,82 @@
+"""Monthly state: equal to the models over all transactions after any sequence of landings."""
+
+import datetime as dt
+import os
+
+from fixtures import card, customer, merchant, raw_sources, txn
+
+from fraudlens.plans import incremental as INC
+from fraudlens.plans import runs
+from fraudlens.plans import state as ST
+from fraudlens.plans.models import FraudModels
+from fraudlens.sources.readers import RawSources
+
+DIMS = [customer("CUST_1"), customer("CUST_2"), customer("CUST_3")], [merchant("MERCH_1"), merchant("MERCH_2")], [card("CARD_1")]
+
+
+def _rows(months, per_month=6, **kw):
+    return [txn(f"T{m}-{i}", date=f"2024-{m:02d}-{3 + 4 * i:02d}", cust=f"CUST_{1 + i % 2}", merch=f"MERCH_{1 + (m + i) % 2}", card=f"CARD_{i % 3}",
+                amount=float(m * 10 + i), fraud=i == 0, ftype="stolen_card", hour=i, xb=i % 2 == 0, **kw) for m in months for i in range(per_month)]
+
+
+def _land(spark, base, rows):
+    raw = raw_sources(spark, rows, *DIMS)
+    (raw["transactions"].write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("transaction_date")
+     .parquet(f"{base}/raw/transactions"))
+    for name in ("customers", "merchants", "cards"):
+        raw[name].write.mode("overwrite").parquet(f"{base}/raw/{name}")
+
+
+def _run(spark, base):
+    sources = RawSources.from_dir(spark, f"{base}/raw", fmt="parquet")
+    m = FraudModels(sources, as_of="2024-12-31", audit=False)
+    months = runs.write_dimensions(spark, m, f"{base}/raw", f"{base}/marts", "parquet")
+    for name, model in ((runs.DIM_CUSTOMERS, m.dim_customers), (runs.DIM_MERCHANTS, m.dim_merchants)):
+        written = spark.read.parquet(f"{base}/marts/{name}")
+        assert written.dtypes == model.dtypes
+        diff = INC.relation_diff(written, model).first()
+        assert (diff.rows_only_in_left, diff.rows_only_in_right) == (0, 0), name
+    return sorted(months)
+
+
+def test_only_changed_months_are_recomputed(spark, tmp_dir):
+    _land(spark, tmp_dir, _rows(range(1, 5)))
+    assert _run(spark, tmp_dir) == ["2024-01", "2024-02", "2024-03", "2024-04"]
+    assert _run(spark, tmp_dir) == []
+    _land(spark, tmp_dir, _rows([5]) + _rows([2], per_month=1, status="DECLINED"))       # a new month and a corrected old day
+    assert _run(spark, tmp_dir) == ["2024-02", "2024-05"]
+    assert ST.STATE.keys() <= set(os.listdir(f"{tmp_dir}/marts"))
+
+
+def test_a_day_that_goes_takes_its_rows_along(spark, tmp_dir):
+    _land(spark, tmp_dir, _rows([1, 2]))
+    _run(spark, tmp_dir)
+    INC._drop_partition_dirs(spark, f"{tmp_dir}/raw/transactions", "transaction_date", [f"2024-02-{3 + 4 * i:02d}" for i in range(6)])
+    assert _run(spark, tmp_dir) == ["2024-02"]
+
+
+def test_a_failed_run_is_made_good_by_the_next(spark, tmp_dir, monkeypatch):
+    _land(spark, tmp_dir, _rows([1, 2]))
+    _run(spark, tmp_dir)
+    _land(spark, tmp_dir, _rows([2], per_month=3, status="REVERSED"))
+
+    def crash(stg):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setitem(ST.STATE, "state_links_month", crash)
+        try:
+            _run(spark, tmp_dir)
+        except RuntimeError:
+            pass
+    assert _run(spark, tmp_dir) == ["2024-02"]
+
+
+def test_windows_end_at_the_newest_day_of_any_status(spark, tmp_dir):
+    days = [dt.date(2024, 6, 30) - dt.timedelta(d) for d in (0, 7, 8, 30, 31)]
+    rows = [txn(f"W{i}", date=str(d), status="DECLINED" if i == 0 else "COMPLETED") for i, d in enumerate(days)]
+    _land(spark, tmp_dir, rows)
+    _run(spark, tmp_dir)
+    got = {r.customer_id: r for r in spark.read.parquet(f"{tmp_dir}/marts/{runs.DIM_CUSTOMERS}").collect()}
+    assert (got["CUST_1"].txn_count_7d, got["CUST_1"].txn_count_30d, got["CUST_1"].lifetime_txn_count) == (1, 3, 4)
+    assert got["CUST_3"].lifetime_txn_count is None
