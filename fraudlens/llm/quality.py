@@ -154,7 +154,8 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
 
     ``_score`` is the probability of fine text; rows at or above ``threshold`` are kept.
     NULL, empty and white texts have no words: score 0, rejected.  Equal
-    texts get equal scores.  With an empty table the result is empty.  Input columns
+    texts get equal scores, and scores do not depend on how rows are dealt to tasks.  Texts of any length are read whole.
+    Of rows that repeat an id and its text one can be drawn for the sample; rows with a NULL id are drawn by their text.  With an empty table the result is empty.  Input columns
     with the names of the added ones are replaced.
     """
     spark = docs.sparkSession
@@ -163,26 +164,28 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
 
     def vote(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([Votes.of(t.as_py()) for t in b.column(1)], pa.string())],
-                                             names=["h", "votes"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([Votes.of(t.as_py()) for t in b.column(2)], pa.string())],
+                                             names=["h", "t", "votes"])
 
-    # the sample: the smallest hashes of ids, so that any input gives the same share of every kind
-    order = F.xxhash64("id", F.lit(17))
-    voted = staged(rows.select(order.alias("h"), "text").mapInArrow(vote, "h bigint, votes string"), "votes")
+    # the sample: the smallest hashes of ids and texts, so that any input gives the same share of every kind
+    rows = rows.select(F.xxhash64("id", F.lit(17)).alias("h"), F.xxhash64("text").alias("t"), "text")
+    voted = staged(rows.mapInArrow(vote, "h bigint, t bigint, votes string"), "votes")
     patterns = {r["votes"]: r["n"] for r in voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
     posterior = label_model(patterns)
-    last = voted.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    # a row that repeats an id and its text is drawn once: the sample has its size whatever repeats, and one order
+    last = voted.select("h", "t").distinct().orderBy("h", "t").limit(sample).agg(F.max(F.struct("h", "t"))).first()[0]
 
     def featurise(batches):
         for b in batches:
-            got = [(Votes.of(t), *features(t)) for t in (x.as_py() for x in b.column(0))]
+            got = [(Votes.of(t), *features(t)) for t in (x.as_py() for x in b.column(2))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.list_(pa.int32())),
-                 pa.array([g[2] for g in got], pa.list_(pa.float32()))], names=["votes", "at", "value"])
+                [b.column(0), b.column(1), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.list_(pa.int32())),
+                 pa.array([g[2] for g in got], pa.list_(pa.float32()))], names=["h", "t", "votes", "at", "value"])
 
-    chosen = [] if last is None else (
-        rows.where(order <= F.lit(last)).limit(sample).select("text")
-        .mapInArrow(featurise, "votes string, at array<int>, value array<float>").collect())
+    chosen = [] if last is None else sorted(
+        rows.where((F.col("h") < last["h"]) | ((F.col("h") == last["h"]) & (F.col("t") <= last["t"]))).dropDuplicates(["h", "t"])
+        .mapInArrow(featurise, "h bigint, t bigint, votes string, at array<int>, value array<float>").collect(),
+        key=lambda r: (r["h"], r["t"]))
     if chosen:
         w, bias = fit([(np.array(r["at"], np.int32), np.array(r["value"], np.float32)) for r in chosen],
                       np.array([posterior[r["votes"]] for r in chosen], np.float32))

@@ -45,3 +45,15 @@ def test_edge_rows(frame):
     assert len({r["_score"] for r in got if r["doc_id"] == 5}) == 1
     assert {"id", "row", "n", "_removed"} <= set(got[0].asDict())
     assert quality.classify(frame([])).collect() == []
+
+
+def test_scores_do_not_depend_on_partitions_or_repeated_rows(frame, vocabulary):
+    r = np.random.default_rng(3)
+    rows = [(None if i % 3 == 0 else i, " ".join(r.choice(vocabulary, 20 + i % 30)) + (" ||| ###" if i % 5 == 0 else "")) for i in range(200)]
+    rows += [(7, "one text many times over and over again")] * 300
+
+    def scores(n, sample):
+        got = quality.classify(frame(rows).repartition(n), sample=sample).select("doc_id", "text", "_score").collect()
+        return sorted(((x["doc_id"], x["text"], x["_score"]) for x in got), key=str)
+
+    assert scores(3, 80) == scores(7, 80) != scores(3, 150)
