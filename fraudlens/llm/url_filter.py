@@ -99,9 +99,10 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     ``score`` is NULL for ruled URLs.  NULL and URLs without ``://`` have empty
     host and path and are blocked: there is nothing to fetch.  When the rules
     accept no URL, or reject none, there is no ratio and unruled URLs are
-    allowed.  Repeated rows get the same verdict each; an empty table gives an
+    allowed.  Time grows in proportion to a URL's length.  Repeated rows get the same verdict each; an empty table gives an
     empty result; other columns are not read.
     """
+    spark = pages.sparkSession
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
     urls = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_match(F.col("host"), F.col("path"), rules)
@@ -110,11 +111,12 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     # a site may hold many pages of one address: score each address once
     known = staged(urls.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.first("ruled").alias("ruled"))
                    .withColumn("key", F.monotonically_increasing_id()), "urls")
-    letters = F.concat(F.lit(PAD * order), "host", "path", F.lit(END))
-    spots = (known.where("host <> '' OR path <> ''")
-             .select("key", "n", "ruled", letters.alias("s"),
-                     F.explode(F.sequence(F.lit(1), F.char_length(F.concat("host", "path")) + 1)).alias("i"))
-             .select("key", "n", "ruled", F.col("s").substr(F.col("i"), F.lit(order + 1)).alias("gram")))
+    # an array of characters: a place in a string is found by walking from its start, a place in an array at once
+    letters = F.split(F.concat(F.lit(PAD * order), "host", "path", F.lit(END)), "")
+    gram = F.transform(F.sequence(F.lit(1), F.size("letters") - order), lambda i: F.array_join(F.slice("letters", i, F.lit(order + 1)), ""))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spots = (known.where("host <> '' OR path <> ''").repartition(parts, "key").select("key", "n", "ruled", letters.alias("letters"))
+             .select("key", "n", "ruled", F.explode(gram).alias("gram")))
     grams = materialize(spots.groupBy("gram").agg(
         F.sum(F.when(F.col("ruled") == "allow", F.col("n")).otherwise(0)).alias("a"),
         F.sum(F.when(F.col("ruled") == "block", F.col("n")).otherwise(0)).alias("r")))
