@@ -4,55 +4,56 @@ A line is the set of its lower-cased words.  A line goes when any earlier line
 (by doc_id, then line number) has a Jaccard similarity of ``per_cent`` / 100 or more
 with it; the earlier line need not itself stay.
 
-1. Lines with equal sets form a class; its first line represents it, all others go.
-2. Words are ordered by rarity: a count over all documents in ``COUNTERS`` hashed counters, a
+1. Lines with equal text form a class; its first line represents it, all others go.
+2. A cheap round settles near copies: lines that agree on a few words at fixed places
+   are compared with the earliest of them.  A line that matches is settled: it goes.
+3. Words are ordered by rarity: a count over all distinct lines in ``COUNTERS`` hashed counters, a
    table of fixed size, then by hash.  The first n - ceil(t n) + 1 words are the prefix.
-3. A cheap round settles near copies: classes that agree on a few words at fixed places
-   are compared with the earliest of them.
-4. All classes are joined on prefix words, but for pairs whose lines are both settled, under the
+4. Lines are joined on prefix words, but for pairs of two settled lines, under the
    length filter, the positional filter and a bound on the overlap from bit signatures
-   of the sets, none of which loses a match.
-5. Candidates are verified on the words themselves, read again from the text.
+   of the sets, none of which loses a match.  Of a pair the smaller set needs a shorter prefix.
+5. Candidates are verified on the words themselves.  No hash decides a match.
 
-DataFrame functions only.  One exchange serves both sides of the join in step 4.  Line
-texts are shuffled nowhere but for candidates, and the shuffle files of a step go when its
-table is written.
+DataFrame functions only.  The distinct lines are written once; every later step reads them, so documents are
+read twice: here and when lines are removed.  The shuffle files of a step go when its table is written.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudlens.llm.common import bounded, materialize, staged
-from fraudlens.llm.setjoin import overlap_fits, places_fit, sizes_fit, window_pairs
+from fraudlens.llm.common import bounded, discard, staged
+from fraudlens.llm.setjoin import open_pairs, overlap_fits
 
 PER_CENT = 75
 COUNTERS = 1 << 17
 HASH_BITS = 57             # of a word's hash, below the 6 bits of its rarity: 63 bits name a word in the filters
 LINE = ["doc_id", "row", "line_no"]
+SPACES = "\t\r\x0b\x0c"    # white space inside a line, beside the blank
+WORDED = r"[^ \t\r\x0b\x0c]"
 
 
 def words_of(line: Column) -> Column:
     """All words of a line in order; white space other than line breaks parts them."""
-    return F.array_remove(F.split(_spaced(line, "\t\r\x0b\x0c"), " "), "")
-
-
-def _spaced(text: Column, breaks: str) -> Column:
-    text = F.lower(text)
-    for c in breaks:
-        text = F.replace(text, F.lit(c), F.lit(" "))
-    return text
+    low = F.lower(line)
+    other = reduce(Column.__or__, [F.contains(low, F.lit(c)) for c in SPACES])
+    return F.array_remove(F.split(F.when(other, F.translate(low, SPACES, "    ")).otherwise(low), " "), "")
 
 
-def lines_of(rows: DataFrame) -> DataFrame:
-    return rows.select("doc_id", "row", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+def distinct_lines(rows: DataFrame) -> DataFrame:
+    """(id, LINE, line): each text of a line with words once, at its first place."""
+    lines = rows.select("doc_id", "row", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    first = lines.groupBy("line").agg(F.min(F.struct(*LINE)).alias("at")).where(F.col("line").rlike(WORDED))
+    return staged(first.select("at.*", "line").withColumn("id", F.monotonically_increasing_id()), "lines", "zstd")
 
 
-def rarity(rows: DataFrame) -> list[int]:
-    """A rank from 0 (rare) to 63 for each of COUNTERS hash classes, by how often their words occur in all documents."""
-    words = rows.select(F.explode(F.split(_spaced(F.col("text"), "\n\t\r\x0b\x0c"), " ")).alias("w"))
-    counts = (words.where("w <> ''").groupBy(F.xxhash64("w").bitwiseAND(F.lit(COUNTERS - 1)).alias("at"))
+def rarity(lines: DataFrame) -> list[int]:
+    """A rank from 0 (rare) to 63 for each of COUNTERS hash classes, by how often their words occur in all lines."""
+    words = lines.select(F.explode(words_of(F.col("line"))).alias("w"))
+    counts = (words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(COUNTERS - 1)).alias("at"))
               .agg(F.count(F.lit(1)).alias("n"))).collect()
     mean = max(1.0, sum(r["n"] for r in counts) / COUNTERS)
     ranks = [0] * COUNTERS
@@ -62,116 +63,86 @@ def rarity(rows: DataFrame) -> list[int]:
 
 
 def line_sets(lines: DataFrame, ranks: list[int], per_cent: int) -> DataFrame:
-    """LINE, n, s1, s2 (128 bits that name the set), k1, k2 (bit signature), prefix and keys of lines with words."""
-    # a constant: the optimizer parses it once, and a lookup is an array access
-    table = F.from_json(F.lit(str([r << HASH_BITS for r in ranks])), "array<bigint>")
+    """id, n, k1, k2 (bit signature) and prefix of each line."""
+    # a constant: the optimizer parses it once, and a lookup is an array access; small numbers stay in the cache
+    table = F.from_json(F.lit(str(ranks)), "array<tinyint>")
 
-    def placed(word: Column) -> Column:
-        h = F.xxhash64(word)
-        rank = F.get(table, h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int"))
-        return rank.bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+    def placed(h: Column) -> Column:
+        rank = table[h.bitwiseAND(F.lit(COUNTERS - 1))].cast("bigint")
+        return F.call_function("shiftleft", rank, F.lit(HASH_BITS)).bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))
 
     def signature(half: int) -> Column:
         def add(acc: Column, h: Column) -> Column:
-            place = F.shiftright(h, 6) if half else F.bitwise_not(F.shiftright(h, 6))
+            place = F.shiftright(h, 26) if half else F.bitwise_not(F.shiftright(h, 26))
             one = place.bitwiseAND(F.lit(1).cast("bigint"))
-            return acc.bitwiseOR(F.call_function("shiftleft", one, h.bitwiseAND(F.lit(63)).cast("int")))
+            return acc.bitwiseOR(F.call_function("shiftleft", one, F.shiftright(h, 20).bitwiseAND(F.lit(63)).cast("int")))
         return F.aggregate("ordered", F.lit(0).cast("bigint"), add)
 
-    def key(start: Column, salt: int) -> Column:
-        return F.xxhash64(F.lit(salt), F.slice("words", start, F.lit(4)))
-
-    size = F.size("words")
-    read = lines.select(*LINE, words_of(F.col("line")).alias("words")).where("size(words) > 0")
-    read = read.select(
-        *LINE, F.sort_array(F.array_distinct(F.transform("words", placed))).alias("ordered"),
-        F.array_distinct(F.array(key(F.lit(1), 1), key(F.greatest(size - 3, F.lit(1)), 2),
-                                 key(F.greatest((size / 2).cast("int") - 1, F.lit(1)), 3))).alias("keys"))
+    hashes = F.array_distinct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)))
+    read = lines.select("id", F.sort_array(F.transform(hashes, placed)).alias("ordered"))
     read = read.select("*", F.size("ordered").alias("n"))
     prefix = F.col("n") - F.ceil(F.col("n") * per_cent / 100).cast("int") + 1
-    return read.select(*LINE, "n", F.xxhash64("ordered").alias("s1"), F.xxhash64(F.lit(7), "ordered").alias("s2"),
-                       signature(0).alias("k1"), signature(1).alias("k2"),
-                       F.slice("ordered", F.lit(1), prefix).alias("prefix"), "keys")
+    return read.select("id", "n", signature(0).alias("k1"), signature(1).alias("k2"),
+                       F.slice("ordered", F.lit(1), prefix).alias("prefix"))
 
 
 def _may_match(a, b, per_cent: int) -> Column:
-    """Length filter and the bound on the overlap: each differing bit is a word that only one of the sets has."""
+    """The bound on the overlap: each differing bit is a word that only one of the sets has."""
     differ = F.bit_count(a["k1"].bitwiseXOR(b["k1"])) + F.bit_count(a["k2"].bitwiseXOR(b["k2"]))
-    both = F.abs(a["n"]) + F.abs(b["n"])
-    return sizes_fit(F.abs(a["n"]), F.abs(b["n"]), per_cent) & overlap_fits((both - differ) / 2, F.abs(a["n"]), F.abs(b["n"]), per_cent)
+    return overlap_fits((a["n"] + b["n"] - differ) / 2, a["n"], b["n"], per_cent)
+
+
+def near_pairs(lines: DataFrame) -> DataFrame:
+    """(x, y): each line with the earliest line of a group that agrees on four words at its start, end or middle."""
+    words = lines.select("id", *LINE, words_of(F.col("line")).alias("words")).select("*", F.size("words").alias("n"))
 
+    def key(start: Column, salt: int) -> Column:
+        return F.xxhash64(F.lit(salt), F.slice("words", start, F.lit(4)))
 
-def near_pairs(reps: DataFrame, per_cent: int) -> DataFrame:
-    """(x, y): each line with the earliest line of a group that shares a key and may match by its signature."""
-    here = F.struct(*LINE).alias("here")
-    keyed = reps.select("id", here, "n", "k1", "k2", F.explode("keys").alias("key"))
-    first = (keyed.groupBy("key").agg(F.min(F.struct("here", "id", "n", "k1", "k2")).alias("first"), F.count(F.lit(1)).alias("c"))
-             .where("c > 1").select("key", "first"))
-    cols = ("n", "k1", "k2")
-    ok = _may_match({c: F.col(c) for c in cols}, {c: F.col(f"first.{c}") for c in cols}, per_cent)
-    return (keyed.join(first, "key").where((F.col("id") != F.col("first.id")) & ok)
-            .select(F.col("id").alias("x"), F.col("first.id").alias("y")).distinct())
+    keys = F.array(key(F.lit(1), 1), key(F.greatest(F.col("n") - 3, F.lit(1)), 2),
+                   key(F.greatest((F.col("n") / 2).cast("int") - 1, F.lit(1)), 3))
+    keyed = words.select("id", F.struct(*LINE, "id").alias("here"), F.explode(keys).alias("key"))
+    first = (keyed.groupBy("key").agg(F.min("here").alias("first"), F.count(F.lit(1)).alias("c"))
+             .where("c > 1").select("key", F.col("first.id").alias("y")))
+    return keyed.select(F.col("id").alias("x"), "key").join(first, "key").where("x <> y").select("x", "y").distinct()
 
 
-def matched(pairs: DataFrame, read: DataFrame, rows: DataFrame, per_cent: int, settled: DataFrame | None = None) -> DataFrame:
-    """(id) of the later line of every pair (x, y) whose word sets reach the similarity.
+def matched(pairs: DataFrame, lines: DataFrame, per_cent: int, passes: int = 4) -> DataFrame:
+    """(id) of the later line of every staged pair (x, y) whose word sets reach the similarity; the pairs are used up.
 
-    Pairs whose later line is in ``settled`` already, and lines of a repeated row against
-    themselves, are left out before any words are read.
+    Each pass verifies a share of the pairs, so that only a share of the words lies in shuffle files at a time.
     """
-    wanted = materialize(pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id"))).distinct())
-    here = F.struct(*LINE)
-    at = bounded(materialize(read.select("id", here.alias("here")).join(bounded(wanted), "id")))
-    a, b = (at.select(F.col("id").alias(v), F.col("here").alias(f"at_{v}")) for v in "xy")
-    swap = F.col("at_x") < F.col("at_y")
-    ordered = (pairs.join(a, "x").join(b, "y").where(F.col("at_x") != F.col("at_y"))
-               .select(F.when(swap, F.col("y")).otherwise(F.col("x")).alias("x"),
-                       F.when(swap, F.col("x")).otherwise(F.col("y")).alias("y")).distinct())
-    if settled is not None:
-        ordered = ordered.join(bounded(settled.select(F.col("id").alias("x"))), "x", "left_anti")
-    ordered = staged(ordered, "line-pairs")
-
-    ids = ordered.select(F.col("x").alias("id")).unionByName(ordered.select(F.col("y").alias("id"))).distinct()
-    small = bounded(materialize(read.select("id", *LINE).join(bounded(materialize(ids)), "id")))
-    lines = lines_of(rows)
-    same = lines["doc_id"].eqNullSafe(small["doc_id"]) & (lines["row"] == small["row"]) & (lines["line_no"] == small["line_no"])
-    found = staged(lines.join(small, same).select("id", F.array_distinct(words_of(F.col("line"))).alias("w"))
-                   .dropDuplicates(["id"]), "line-words")
-    a, b = (found.select(F.col("id").alias(v), F.col("w").alias(f"w{v}")) for v in "xy")
-    shared = F.size(F.array_intersect("wx", "wy"))
-    return materialize(ordered.join(a, "x").join(b, "y").where(overlap_fits(shared, F.size("wx"), F.size("wy"), per_cent))
-                       .select(F.col("x").alias("id")).distinct())
-
-
-def find_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 per_cent: int = PER_CENT) -> DataFrame:
-    """(doc_id, row, line_nos): the lines of each document that go, counted from 0; documents without any are left out."""
+    wanted = staged(pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id"))).distinct(), "line-wanted")
+    words = staged(lines.join(bounded(wanted), "id").select(
+        "id", F.struct(*LINE).alias("at"), F.array_distinct(words_of(F.col("line"))).alias("w")), "line-words", "zstd")
+    a, b = (words.select(F.col("id").alias(v), F.col("at").alias(f"at_{v}"), F.col("w").alias(f"w_{v}")) for v in "xy")
+    shared = F.size(F.array_intersect("w_x", "w_y"))
+    later = F.when(F.col("at_x") > F.col("at_y"), F.col("x")).otherwise(F.col("y"))
+    fits = overlap_fits(shared, F.size("w_x"), F.size("w_y"), per_cent)
+
+    def verified(turn: int) -> DataFrame:
+        mine, here = (df.where(F.pmod("x", F.lit(passes)) == turn) for df in (pairs, a))
+        return staged(mine.join(here, "x").join(b, "y").where(fits).select(later.alias("id")).distinct(), "line-verified")
+
+    found = [verified(turn) for turn in range(passes)]
+    gone = staged(reduce(DataFrame.unionByName, found).distinct(), "line-matched")
+    discard(wanted, words, pairs, *found)
+    return gone
+
+
+def kept_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_cent: int = PER_CENT) -> DataFrame:
+    """(doc_id, row, line_nos): the lines with words that each document keeps, counted from 0; documents that keep none are left out."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    # rows that repeat an id and its text are one document: their lines are found twice and merge at the end
-    rows = documents.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
-    ranks = rarity(rows)
-    read = staged(line_sets(lines_of(rows), ranks, per_cent).withColumn("id", F.monotonically_increasing_id()), "lines")
-    here, same_set = F.struct(*LINE), ["s1", "s2", "n"]
-    classes = materialize(read.groupBy(*same_set).agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("c"))
-                          .where("c > 1").drop("c"))
-    classes = bounded(classes)
-    reps = (read.join(classes, same_set, "left").where(F.col("first").isNull() | (here == F.col("first")))
-            .select("id", *LINE, "n", "k1", "k2", "prefix", "keys"))
-
-    settled = matched(staged(near_pairs(reps, per_cent), "line-near"), read, rows, per_cent)
-    # a settled line is marked by a negative size: both sides of the join keep the same columns, hence one exchange
-    entries = (reps.select("id", "n", "k1", "k2", "prefix").join(bounded(settled).withColumn("gone", F.lit(True)), "id", "left")
-               .withColumn("n", F.when(F.col("gone"), -F.col("n")).otherwise(F.col("n"))).drop("gone"))
-
-    def keep(a, b) -> Column:
-        place = {"n": F.abs(a["n"]), "pos": a["pos"]}, {"n": F.abs(b["n"]), "pos": b["pos"]}
-        return (F.greatest(a["n"], b["n"]) > 0) & places_fit(*place, per_cent) & _may_match(a, b, per_cent)
-
-    late = matched(staged(window_pairs(entries, keep), "line-windows"), read, rows, per_cent, settled)
-    gone = bounded(materialize(settled.unionByName(late).distinct()))
-    repeats = read.join(classes, same_set).where(here != F.col("first")).select(*LINE)
-    return (repeats.unionByName(read.join(gone, "id").select(*LINE))
-            .groupBy("doc_id", "row").agg(F.array_sort(F.collect_set("line_no")).alias("line_nos")))
+    # rows that repeat an id and its text are one document and keep the same lines
+    lines = distinct_lines(documents.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text")))
+    settled = matched(staged(near_pairs(lines), "line-near"), lines, per_cent)
+    sets_of = staged(line_sets(lines, rarity(lines), per_cent), "line-sets")
+    sets = sets_of.join(bounded(settled.withColumn("gone", F.lit(True))), "id", "left").withColumn("open", F.col("gone").isNull()).drop("gone")
+    pairs = staged(open_pairs(sets, per_cent, lambda a, b: _may_match(a, b, per_cent)), "line-windows")
+    discard(sets_of)
+    gone = bounded(staged(settled.unionByName(matched(pairs, lines, per_cent)).distinct(), "line-gone"))
+    return (lines.select("id", *LINE).join(gone, "id", "left_anti")
+            .groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("line_no")).alias("line_nos")))
 
 
 def dedup_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -179,23 +150,27 @@ def dedup_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """All columns of ``documents`` with ``text_col`` cleaned, plus ``_n_lines`` and ``_removed`` (line numbers from 0).
 
     Every input row gives a row.  Lines without words (blank ones included)
-    are kept and match nothing.  A NULL text stays NULL; an empty one is one blank line.  Rows that
+    are kept and match nothing.  A NULL text stays NULL; an empty one is one blank line.  Texts of any length are read
+    whole, in time that grows with their lines and words.  Rows that
     repeat an id and its text are one document and share its result; rows
     that share an id with other texts are separate, in the order of a hash of their text.
     NULL ids come first.  Input columns with the names of the added ones are replaced.  A document all of whose lines go keeps an empty text.
     """
-    documents = documents.drop("_n_lines", "_removed", "_doc_id", "_row")
-    repeats = find_repeats(documents, id_col, text_col, per_cent)
-    found = staged(repeats.select(F.col("doc_id").alias("_doc_id"), F.col("row").alias("_row"), F.col("line_nos").alias("_removed")),
-                   "line-repeats")
-    size = found.agg(F.sum(F.size("_removed") * 4 + 48)).first()[0] or 0
-    small = F.broadcast(found) if size <= 64 << 20 else found
+    documents = documents.drop("_n_lines", "_removed", "_doc_id", "_row", "_lines", "_kept")
+    kept = staged(kept_lines(documents, id_col, text_col, per_cent).select(
+        F.col("doc_id").alias("_doc_id"), F.col("row").alias("_row"), F.col("line_nos").alias("_kept")), "line-kept")
+    size = kept.agg(F.sum(F.size("_kept") * 4 + 48)).first()[0] or 0
+    small = F.broadcast(kept) if size <= 64 << 20 else kept
     text = F.coalesce(documents[text_col], F.lit(""))
-    same = documents[id_col].eqNullSafe(small["_doc_id"]) & (F.xxhash64(text) == small["_row"])
-    lines = F.split(text, "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
-    cleaned = F.when(F.col("_removed").isNull(), documents[text_col]).otherwise(
-        F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
-    columns = [cleaned.alias(c) if c == text_col else documents[c] for c in documents.columns]
-    return documents.join(small, same, "left").select(
-        *columns, F.size(lines).alias("_n_lines"), F.coalesce("_removed", F.array().cast("array<int>")).alias("_removed"))
+    # lines are split below the join: above it an expression inside a lambda would split the text once for every line
+    split = documents.select("*", F.split(text, "\n", -1).alias("_lines"), F.xxhash64(text).alias("_text"))
+    same = split[id_col].eqNullSafe(small["_doc_id"]) & (split["_text"] == small["_row"])
+    found = split.join(small, same, "left")
+    worded = F.filter(F.transform("_lines", lambda l, i: F.when(l.rlike(WORDED), i)), lambda i: i.isNotNull())
+    none = F.array().cast("array<int>")
+    found = found.withColumn("_removed", F.array_except(worded, F.coalesce("_kept", none)))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_removed"))
+    cleaned = F.when(F.size("_removed") == 0, F.col(text_col)).otherwise(
+        F.array_join(F.transform(left, lambda i: F.get(F.col("_lines"), i)), "\n"))
+    columns = [cleaned.alias(c) if c == text_col else F.col(c) for c in documents.columns]
+    return found.select(*columns, F.size("_lines").alias("_n_lines"), "_removed")

@@ -2,17 +2,19 @@
 
 1. Documents become sets of 64-bit hashes of ``width``-word shingles; equal sets become one
    point (id: its smallest document).  All later steps work on points.
-2. Pivots and cells: points that agree on a few minima of random orders propose the one
-   among them with the most copies as pivot; the exact distance decides.  Points within the radius of
-   their pivot are linked to it, and linked pivots join their cells (``components``).
-   A group of near copies is settled here by one comparison a point and key.
-3. Windows: by the triangle inequality to the empty set, in the universe of the
-   rarest shingles, two points within the radius share one of their first
-   n - ceil(t n) + 1 shingles in rarity order.  A point is therefore replicated to the
-   regions of these shingles alone, and meets there every point that another cell
-   still could bring within the radius.  Pairs of one cell are connected already and are left out.
-4. What passes the size and positional bounds, and a bound from bit signatures, is verified
-   exactly, and the links of both rounds give the components.
+2. Pivots: points that agree on a few minima of random orders propose the one among them with the
+   most copies; the exact distance decides.  A point within the radius joins the Voronoi region of its nearest
+   pivot; any other point is the pivot of its own region.  Links to pivots connect regions into cells.
+   A group of near copies is settled here by a few comparisons a point, however large the group.
+3. Candidate regions: two points within the radius share one of their first n - ceil(t n) + 1 shingles in
+   rarity order, so regions of different cells meet where prefixes of theirs share a shingle.  Shingles of one
+   cell leave before any shuffle of entries, by a bitmap of fixed size; at a shingle the largest cell does not meet itself.
+4. Recursion: the pivots of two such regions are compared exactly, and one pair of members that share the rarest
+   shingle.  Within the radius they link.  Where the pivots are farther apart
+   than the radius and both regions' extents, the triangle inequality rules out all of their members.
+5. Between the two, and only where the cells are still apart, the boundary documents are replicated: x and y
+   meet where they share a shingle and their distances to their pivots add up to that of the pivots less
+   the radius, at least.  The links of all rounds give the components.
 
 Rarity comes from counters over all documents: ``COUNTERS`` hashed counters, so the
 table sent to every task has a fixed size; shared passages get high counts and
@@ -29,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudlens.llm.common import bounded, materialize, staged
-from fraudlens.llm.setjoin import components, leader_pairs, places_fit, prefix_length, window_pairs
+from fraudlens.llm.common import bitmap_of, bounded, discard, in_bitmap, staged
+from fraudlens.llm.setjoin import components, leader_pairs, places_fit, prefix_length
 
 WIDTH, PER_CENT = 5, 75
 COUNTERS = 1 << 18
@@ -156,7 +158,7 @@ def signature(h: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def may_match(p: bytes, q: bytes, n: int, m: int, per_cent: int) -> bool:
+def may_match(p: bytes, q: bytes, n: int, m: int, per_cent: float) -> bool:
     """False only where the similarity is out of reach: every bit that differs is a hash of one set alone."""
     p, q = np.frombuffer(p, np.uint8), np.frombuffer(q, np.uint8)
     while len(p) > len(q):                       # a table folds into the one of half its size
@@ -167,29 +169,32 @@ def may_match(p: bytes, q: bytes, n: int, m: int, per_cent: int) -> bool:
     return (100 + per_cent) * shared >= per_cent * (n + m)
 
 
-def possible(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
-    """The pairs whose signatures leave the similarity in reach."""
+SLACK = 1e-9                       # of distances compared as floating point numbers; links are decided on integers
+
+
+def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (x, y, reach) whose signatures leave a distance up to ``reach`` possible."""
     a, b = (sets.select(F.col("id").alias(v), F.col("n").alias(f"n{v}"), F.col("bits").alias(f"b{v}")) for v in "xy")
 
     def test(batches):
         for c in batches:
-            keep = [may_match(p.as_py(), q.as_py(), n, m, per_cent)
-                    for p, q, n, m in zip(c.column(2), c.column(3), c.column(4).to_pylist(), c.column(5).to_pylist())]
-            yield pa.RecordBatch.from_arrays([c.column(0), c.column(1)], names=["x", "y"]).filter(pa.array(keep, pa.bool_()))
+            keep = [may_match(p.as_py(), q.as_py(), n, m, 100 * (1 - reach - SLACK))
+                    for p, q, n, m, reach in zip(c.column(3), c.column(4), *(c.column(k).to_pylist() for k in (5, 6, 2)))]
+            yield pa.RecordBatch.from_arrays(c.columns[:3], names=["x", "y", "reach"]).filter(pa.array(keep, pa.bool_()))
 
-    return staged(pairs.join(a, "x").join(b, "y").select("x", "y", "bx", "by", "nx", "ny")
-                  .mapInArrow(test, "x bigint, y bigint"), "possible")
+    return staged(pairs.join(a, "x").join(b, "y").select("x", "y", "reach", "bx", "by", "nx", "ny")
+                  .mapInArrow(test, "x bigint, y bigint, reach double"), "possible")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, per_cent: int) -> DataFrame:
-    """The pairs (x, y) whose sets reach the similarity, from the texts of both.
+    """(x, y, reach, d, link) of the pairs (x, y, reach) at a distance d up to ``reach``, from the texts of both.
 
     ``sets``: id, doc_id, row, n, bits of each point; pairs that the signatures rule out
     go first, and texts are read for points in a remaining pair only.
     """
-    pairs = possible(pairs, sets, per_cent)
+    pairs = possible(pairs, sets)
     wanted = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id"))).distinct()
-    at = materialize(sets.select("id", "doc_id", "row").join(bounded(materialize(wanted)), "id"))
+    at = staged(sets.select("id", "doc_id", "row").join(bounded(staged(wanted, "step")), "id"), "step")
     small = bounded(at)
 
     def hashes(batches):
@@ -204,18 +209,102 @@ def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, per
 
     def test(batches):
         for b in batches:
-            keep = []
-            for p, q in zip(b.column(2), b.column(3)):
+            far, link = [], []
+            for p, q in zip(b.column(3), b.column(4)):
                 p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (p, q))
                 both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= per_cent * (len(p) + len(q) - both))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["x", "y"]).filter(mask)
+                either = len(p) + len(q) - both
+                far.append(1 - both / either)
+                link.append(100 * both >= per_cent * either)
+            out = pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(far, pa.float64()), pa.array(link, pa.bool_())],
+                                             names=["x", "y", "reach", "d", "link"])
+            keep = [i or d <= r + SLACK for i, d, r in zip(link, far, b.column(2).to_pylist())]
+            yield out.filter(pa.array(keep, pa.bool_()))
 
     a = found.select(F.col("id").alias("x"), F.col("h").alias("hx"))
     b = found.select(F.col("id").alias("y"), F.col("h").alias("hy"))
-    return staged(pairs.join(a, "x").join(b, "y").select("x", "y", "hx", "hy")
-                  .mapInArrow(test, "x bigint, y bigint"), "links")
+    out = staged(pairs.join(a, "x").join(b, "y").select("x", "y", "reach", "hx", "hy")
+                 .mapInArrow(test, "x bigint, y bigint, reach double, d double, link boolean"), "verified")
+    discard(pairs, at, found)
+    return out
+
+
+def voronoi(sets: DataFrame, links: DataFrame, cells: DataFrame) -> DataFrame:
+    """id, n, prefix, region (its pivot's id), away (distance to it) and cell of each point."""
+    pivots = links.select(F.col("y").alias("id")).distinct().withColumn("pivot", F.lit(True))
+    nearest = links.groupBy(F.col("x").alias("id")).agg(F.min(F.struct("d", "y")).alias("near"))
+    member = F.col("near").isNotNull() & F.col("pivot").isNull()
+    return staged(sets.select("id", "n", "prefix").join(nearest, "id", "left").join(pivots, "id", "left").join(cells, "id", "left").select(
+        "id", "n", "prefix", F.when(member, F.col("near.y")).otherwise(F.col("id")).alias("region"),
+        F.when(member, F.col("near.d")).otherwise(F.lit(0.0)).alias("away"), F.coalesce("root", "id").alias("cell")), "regions")
+
+
+def mixed_entries(points: DataFrame) -> DataFrame:
+    """element, id, pos, n, region, away, cell, main: prefix shingles that several cells hold; main: the one with most entries."""
+    several = (points.select("cell", F.explode("prefix").alias("element")).groupBy("element")
+               .agg(F.min("cell").alias("lo"), F.max("cell").alias("hi")).where("lo < hi"))
+    table = points.sparkSession.sparkContext.broadcast(bitmap_of(several, "element"))
+
+    def run(batches):
+        seen = np.frombuffer(table.value, np.uint8)
+        for b in batches:
+            lists = b.column(2)
+            sizes = np.diff(lists.offsets.to_numpy())
+            elements = lists.flatten().to_numpy()
+            own = np.repeat(np.arange(len(sizes)), sizes)
+            pos = np.arange(len(own)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            keep = np.flatnonzero(in_bitmap(seen, elements))
+            rows = pa.array(own[keep])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(elements[keep]), b.column(0).take(rows), pa.array(pos[keep].astype(np.int32)), b.column(1).take(rows),
+                 *[b.column(k).take(rows) for k in (3, 4, 5)]], names=["element", "id", "pos", "n", "region", "away", "cell"])
+
+    entries = staged(points.select("id", "n", "prefix", "region", "away", "cell").mapInArrow(
+        run, "element bigint, id bigint, pos int, n bigint, region bigint, away double, cell bigint"), "entries")
+    by_cell = entries.groupBy("element", "cell").agg(F.count(F.lit(1)).alias("c"))
+    largest = (by_cell.groupBy("element").agg(F.max(F.struct("c", "cell")).alias("m"), F.count(F.lit(1)).alias("cells"))
+               .where("cells > 1").select("element", F.col("m.cell").alias("of")))
+    mixed = staged(entries.join(largest, "element").withColumn("main", F.col("cell") == F.col("of")).drop("of"), "mixed")
+    discard(entries)
+    return mixed
+
+
+def met_regions(entries: DataFrame, extents: DataFrame, per_cent: int) -> DataFrame:
+    """(element, i, j, reach, x, y): regions i < j of different cells whose members x and y share a shingle, and how far apart pivots may be."""
+    held = (entries.groupBy("element", "region").agg(
+        F.first("cell").alias("cell"), F.first("main").alias("main"), F.min("id").alias("id"),
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest")).join(extents, "region"))
+    a, b = held.where("NOT main").alias("a"), held.alias("b")
+    left, right = ({c: F.col(f"{s}.{c}") for c in held.columns} for s in "ab")
+    # length and positional filters that hold for some members of the two, at this shingle
+    fit = ((F.least(left["most"], right["most"]) * 100 >= F.greatest(left["least"], right["least"]) * per_cent)
+           & (F.least(left["rest"], right["rest"]) * (100 + per_cent) >= (left["least"] + right["least"]) * per_cent))
+    once = right["main"] | (left["region"] < right["region"])
+    low, high = (F.when((left["region"] < right["region"]) == F.lit(first), F.struct(left["region"], left["id"]))
+                 .otherwise(F.struct(right["region"], right["id"])) for first in (True, False))
+    return staged(a.join(b, F.col("a.element") == F.col("b.element"))
+                  .where((left["cell"] != right["cell"]) & once & fit)
+                  .select(F.col("a.element").alias("element"), low.alias("low"), high.alias("high"),
+                          (1 - per_cent / 100 + left["extent"] + right["extent"]).alias("reach"))
+                  .select("element", "reach", F.col("low.region").alias("i"), F.col("high.region").alias("j"),
+                          F.col("low.id").alias("x"), F.col("high.id").alias("y")), "met")
+
+
+def boundary_pairs(apart: DataFrame, met: DataFrame, entries: DataFrame, per_cent: int) -> DataFrame:
+    """(x, y): members of the regions of ``apart`` (i, j, d) that share a shingle and that the triangle inequality leaves within the radius."""
+    a, b = (entries.select("element", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "pos", "region", "away")]) for s in "xy")
+    left, right = ({c: F.col(f"{c}_{s}") for c in ("n", "pos")} for s in "xy")
+    near = F.col("away_x") + F.col("away_y") >= F.col("d") - (1 - per_cent / 100) - SLACK
+    return (met.select("element", "i", "j").join(apart, ["i", "j"])
+            .join(a.withColumnRenamed("region_x", "i"), ["element", "i"]).join(b.withColumnRenamed("region_y", "j"), ["element", "j"])
+            .where(near & places_fit(left, right, per_cent)).select(F.col("id_x").alias("x"), F.col("id_y").alias("y")).distinct())
+
+
+def still_apart(pairs: DataFrame, cells: DataFrame) -> DataFrame:
+    """The pairs (x, y, …) of points in different cells."""
+    a, b = (cells.select(F.col("id").alias(v), F.col("root").alias(f"root_{v}")) for v in "xy")
+    return (pairs.join(a, "x", "left").join(b, "y", "left")
+            .where(F.coalesce("root_x", "x") != F.coalesce("root_y", "y")).drop("root_x", "root_y"))
 
 
 def near_components(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
@@ -224,7 +313,7 @@ def near_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     Documents are linked at a Jaccard similarity of ``per_cent`` / 100 or more of their
     shingle sets; ``component_id`` is the smallest doc_id reachable.  NULL, empty and
-    white texts have no shingles and no links.  Rows that share an id count each by their
+    white texts have no shingles and no links.  Texts of any length are read whole.  Rows that share an id count each by their
     own text (``row`` is a hash of it); a NULL id is never the smallest unless
     alone.  Empty tables give empty results; other columns are not read.
     """
@@ -239,18 +328,38 @@ def near_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
         .select("digest", "n", "m.doc_id", "m.row", F.struct(-F.col("copies"), "m.no_id", "m.doc_id").alias("rank"),
                 "keys", "prefix", "bits")
         .withColumn("id", F.monotonically_increasing_id()), "point-sets")
+    named_sets = staged(docs.select("doc_id", "row", "n", "digest"), "points-named")
+    discard(docs)
 
-    proposals = staged(leader_pairs(sets.select("id", "rank", F.explode("keys").alias("key"))), "proposals")
-    links = verified(proposals, sets, rows, width, per_cent)
-    cells = components(links, "cells")
+    def compared(pairs: DataFrame) -> DataFrame:
+        return verified(pairs, sets, rows, width, per_cent)
 
-    open_sets = sets.select("id", "n", "prefix").join(cells, "id", "left").withColumn("cell", F.coalesce("root", "id")).drop("root")
-    rest = staged(window_pairs(open_sets, lambda a, b: (a["cell"] != b["cell"]) & places_fit(a, b, per_cent)), "windows")
-    more = verified(rest.join(proposals, ["x", "y"], "left_anti"), sets, rows, width, per_cent)
-    roots = components(links.unionByName(more), "roots")
+    radius = F.lit(1 - per_cent / 100)
+    proposed = leader_pairs(sets.select("id", "rank", F.explode("keys").alias("key"))).withColumn("reach", radius)
+    to_pivots = compared(proposed).where("link")
+    links = to_pivots.select("x", "y")
+    cells = components(links, "cells")
 
-    named = sets.select("id", "digest", "n", "doc_id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    regions = voronoi(sets, to_pivots, cells)
+    entries = mixed_entries(regions)
+    extents = staged(regions.groupBy("region").agg(F.max("away").alias("extent")), "extents")
+    discard(regions)
+    met = met_regions(entries, extents, per_cent)
+    pairs = staged(met.groupBy("i", "j").agg(F.max("reach").alias("reach"), F.min(F.struct("element", "x", "y")).alias("m")), "region-pairs")
+    tried = pairs.select(F.col("i").alias("x"), F.col("j").alias("y"), "reach").unionByName(pairs.select("m.x", "m.y", radius.alias("reach")))
+    found = compared(tried.groupBy("x", "y").agg(F.max("reach").alias("reach")))
+    links = links.unionByName(found.where("link").select("x", "y"))
+    cells = components(links, "cells")
+    pivots = found.where("NOT link").select("x", "y", "d").join(pairs.select(F.col("i").alias("x"), F.col("j").alias("y")), ["x", "y"])
+    apart = staged(still_apart(pivots, cells).select(F.col("x").alias("i"), F.col("y").alias("j"), "d"), "apart")
+    if not apart.isEmpty():
+        rest = still_apart(boundary_pairs(apart, met, entries, per_cent), cells).withColumn("reach", radius)
+        links = links.unionByName(compared(rest).where("link").select("x", "y"))
+        cells = components(links, "cells")
+    discard(entries, extents, met, pairs)
+
+    named = sets.select("id", "digest", "n", "doc_id").join(cells, "id", "left").withColumn("root", F.coalesce("root", "id"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_set = named.join(smallest, "root").select("digest", "n", "component_id")
-    return docs.select("doc_id", "row", "n", "digest").join(of_set, ["digest", "n"], "left").select(
+    return named_sets.join(of_set, ["digest", "n"], "left").select(
         "doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

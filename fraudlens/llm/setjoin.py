@@ -7,11 +7,12 @@ reaches ``per_cent`` / 100 when (100 + per_cent) * o >= per_cent * (a + b).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudlens.llm.common import materialize, staged
+from fraudlens.llm.common import staged
 
 Test = Callable[[DataFrame, DataFrame], Column]
 
@@ -35,19 +36,34 @@ def places_fit(a: DataFrame, b: DataFrame, per_cent: int) -> Column:
     return sizes_fit(a["n"], b["n"], per_cent) & overlap_fits(rest, a["n"], b["n"], per_cent)
 
 
-def window_pairs(sets: DataFrame, keep: Test) -> DataFrame:
-    """(x, y), x > y: distinct pairs that share an element of their prefixes and pass ``keep``.
+def index_length(n: Column, per_cent: int) -> Column:
+    """Of two sets that reach the similarity, the smaller one shares one of its first so many elements with the other's prefix."""
+    return n - F.ceil(n * (2 * per_cent) / (100 + per_cent)).cast("int") + 1
 
-    ``sets``: id, n, prefix (array of elements in the common order) and
-    whatever ``keep`` compares.  One exchange by element serves both sides of the
-    join, and the adaptive skew join splits an element that many prefixes hold.
+
+def open_pairs(sets: DataFrame, per_cent: int, keep: Test, passes: int = 4) -> DataFrame:
+    """(x, y): distinct pairs with an open set that share an element of their prefixes and pass ``keep``.
+
+    ``sets``: id, n, prefix (array of elements in the common order), open and whatever ``keep`` compares.
+    Two settled sets never meet: open sets are joined with the short prefixes of all smaller ones, and settled
+    sets with those of smaller open ones.  An element of u open and s settled sets costs u * (u + s) rows, not
+    (u + s) ^ 2; the adaptive skew join splits an element that many prefixes hold.  Each pass joins a share of
+    the elements, so that only a share of the entries lies in shuffle files at a time.
     """
     entries = sets.select("*", F.posexplode("prefix").alias("pos", "element")).drop("prefix")
-    a, b = entries.alias("a"), entries.alias("b")
-    left, right = _side("a", entries), _side("b", entries)
-    return (a.join(b, F.col("a.element") == F.col("b.element"))
-            .where((F.col("b.id") < F.col("a.id")) & keep(left, right))
-            .select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct())
+    short = entries.where(F.col("pos") < index_length(F.col("n"), per_cent))
+
+    def met(large: DataFrame, small: DataFrame, turn: int) -> DataFrame:
+        left, right = _side("a", entries), _side("b", entries)
+        larger = (left["n"] > right["n"]) | ((left["n"] == right["n"]) & (left["id"] > right["id"]))
+        large, small = (df.where(F.pmod("element", F.lit(passes)) == turn).drop("open") for df in (large, small))
+        return (large.alias("a").join(small.alias("b"), F.col("a.element") == F.col("b.element"))
+                .where(larger & places_fit(left, right, per_cent) & keep(left, right))
+                .select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct())
+
+    found = [staged(met(large, small, turn), "open-pairs") for turn in range(passes)
+             for large, small in ((entries.where("open"), short), (entries.where("NOT open"), short.where("open")))]
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 class _side(dict):
@@ -58,15 +74,14 @@ class _side(dict):
 
 
 def leader_pairs(keys: DataFrame) -> DataFrame:
-    """(x, y): each id with the first by ``rank`` of all ids that share a key with it; at most one pair an id.
+    """(x, y): each id with the first by ``rank`` of all ids that share a key with it, for each of its keys.
 
     ``keys``: id, rank, key.  Groups are aggregated before the shuffle; a hot group
     is split by the adaptive skew join.
     """
     first = (keys.groupBy("key").agg(F.min(F.struct("rank", "id")).alias("first"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").drop("n"))
-    return (keys.join(first, "key").where(F.col("id") != F.col("first.id")).groupBy(F.col("id").alias("x"))
-            .agg(F.min("first").alias("first")).select("x", F.col("first.id").alias("y")))
+             .where("n > 1").select("key", F.col("first.id").alias("y")))
+    return keys.select(F.col("id").alias("x"), "key").join(first, "key").where("x <> y").select("x", "y").distinct()
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -76,18 +91,18 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     neighbours are linked to its smallest one, then its smaller neighbours are.
     Only the remaining links are shuffled, and each round is checkpointed.
     """
-    edges = materialize(links.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
-                        .where("x <> y").distinct())
+    edges = staged(links.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
+                        .where("x <> y").distinct(), "step")
     while True:
         both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
         low = both.groupBy("x").agg(F.min("y").alias("low")).select("x", F.least("x", "low").alias("low"))
         large = (both.where("y > x").join(low, "x").select(F.col("y").alias("x"), F.col("low").alias("y"))
                  .distinct())
-        large = materialize(large.where("x <> y"))
+        large = staged(large.where("x <> y"), "step")
         low = large.groupBy("x").agg(F.min("y").alias("low"))
         small = (large.join(low, "x").where("y <> low").select(F.col("y").alias("x"), F.col("low").alias("y"))
                  .unionByName(low.select("x", F.col("low").alias("y"))).distinct())
-        after = materialize(small)
+        after = staged(small, "step")
         # done when every id has one link, to a root that has none
         loose = (after.groupBy("x").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
                  and after.join(after.select(F.col("x").alias("y")).distinct(), "y", "left_semi").isEmpty())

@@ -1,6 +1,10 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
+from fraudlens.llm import line_dedup
+from fraudlens.llm.common import staged
 from fraudlens.llm.line_dedup import dedup_lines
 
 
@@ -51,6 +55,27 @@ def test_many_near_copies_of_one_line(frame, vocabulary):
     assert cleaned(frame(rows)) == brute(rows)
 
 
+def test_near_copies_are_not_joined_with_each_other(spark, frame, vocabulary):
+    copies = 5_000
+    text = " ".join(vocabulary[:40])
+    docs = frame([(i, text.replace(vocabulary[i % 40], f"new{i}")) for i in range(copies)] + [(copies, "a line of its own")], clash=False)
+    lines = line_dedup.distinct_lines(docs.select("doc_id", F.lit(0).cast("bigint").alias("row"), "text"))
+    settled = line_dedup.matched(staged(line_dedup.near_pairs(lines), "near"), lines, 75)
+    assert settled.count() == copies - 1
+    sets = line_dedup.line_sets(lines, line_dedup.rarity(lines), 75).join(settled.withColumn("gone", F.lit(1)), "id", "left")
+    met = (sets.select("gone", F.explode("prefix").alias("e")).groupBy("e")
+           .agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("gone").isNull()).alias("open")).agg(F.sum(F.col("c") * F.col("open"))).first()[0])
+    assert met < 40 * copies                          # all pairs would be 12 million a word
+    pairs = line_dedup.open_pairs(sets.withColumn("open", F.col("gone").isNull()), 75, lambda a, b: line_dedup._may_match(a, b, 75))
+    assert pairs.count() <= copies
+
+
+def test_a_text_of_many_lines(frame):
+    rows = [(1, "\n".join(f"line{k} of many" for k in range(60_000))), (2, "line5 of many\nnew words here")]
+    got = cleaned(frame(rows))
+    assert got[1] == rows[0][1] and got[2] == "new words here"
+
+
 def test_nulls_repeated_rows_and_clashing_names(frame):
     got = dedup_lines(frame([(1, "a b c d"), (1, "a b c d"), (2, "a b c d"), (3, None), (None, "a b c d e"), (4, "x")]))
     assert {"id", "row", "n", "x", "y", "_removed"} <= set(got.columns)
