@@ -91,3 +91,12 @@ def test_an_empty_table_passes_through(spark, corpus, tmp_path):
     docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{sf}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_null_and_shared_ids_among_near_copies(spark):
+    importable(spark)
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, text), (1, text + " more"), (2, text + " other"), (None, text + " none"), (None, "alone"), (3, "alone too")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], COLUMNS)
+    got = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted((str(i), t) for i, t in rows if i != 2)
