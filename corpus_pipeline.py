@@ -43,7 +43,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; of repeated rows one."""
+    """Of each group of near copies the document with the smallest id; of repeated rows one.
+
+    Rows that share the smallest id of their group with different texts all stay, and so does a row with a NULL id:
+    neither has a smaller id beside it.
+    """
     importable(spark)
     groups = staged(ngram_join.near_components(docs), "groups")
     kept = _without(docs, groups.where("component_id <> doc_id"))
