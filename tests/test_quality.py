@@ -41,3 +41,11 @@ def test_a_source_without_rows_is_stale_and_all_checks_run(spark):
     res = {r.check_id: r.status for r in Q.run_all_checks(tables, "2025-01-01 00:00:00").collect()}
     assert len(res) == 60 and res["freshness:raw_transactions.transaction_ts"] == "fail"
     assert res["fraud_rate:fct_transactions.is_fraudulent"] == res["future_transactions:fct_transactions.transaction_ts"] == "pass"
+
+
+def test_unique_failures_stand_at_their_own_check(spark):
+    names = ("stg_customers", "stg_merchants", "stg_cards")
+    checks = [c for c in Q.checks_of("unique") if c.model in names]
+    m = FraudModels(raw_sources(spark, [], [customer("C")], [merchant("M")], [card("A"), card("A"), card("B")]), as_of="2024-12-31", audit=False)
+    res = {r.model: r.failures for r in Q.run_checks({t: getattr(m, t) for t in names}, checks).collect()}
+    assert res == {"stg_customers": 0, "stg_merchants": 0, "stg_cards": 1}
