@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import os
 import uuid
-from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlens import session
-from fraudlens.session import ensure_checkpoint_dir, scratch_path
+from fraudlens.session import ensure_checkpoint_dir, scratch_path, shuffles_removed
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -32,23 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Spark removes the shuffle files of a finished query while this is set.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows that a table may have, by its counted size, to be broadcast.
 BROADCAST_ROWS = 1_000_000
 
 
-@contextmanager
-def shuffles_removed(spark: SparkSession):
-    """Queries run inside leave no shuffle files: for those that end in a table of their own."""
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(CLEANUP, before)
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the shared checkpoint folder, for small tables that several later jobs read."""
     with shuffles_removed(df.sparkSession):
@@ -114,4 +100,4 @@ def ascii_lower(col: Column) -> Column:
 
 
 __all__ = ["ASCII_LOWER", "ASCII_UPPER", "ascii_lower", "bitmap_of", "bounded", "discard", "ensure_checkpoint_dir", "importable", "in_bitmap",
-           "materialize", "scratch_path", "staged", "table"]
+           "materialize", "scratch_path", "shuffles_removed", "staged", "table"]

@@ -254,3 +254,35 @@ def test_compare_by_key(spark):
     same = {(r.kind, r.column_name): r.rows for r in INC.compare_tables(a, a, "k").collect()}
     assert set(same.values()) == {0}
     assert INC.differing_buckets(*(INC._bucketed(x, ["k"], ["k", "s", "v"], 64) for x in (a, a.repartition(3))), ["k", "s", "v"]) == []
+
+
+def test_comparison_by_day_counts_as_the_comparison_of_all_rows(spark):
+    schema = "k int, day string, s string, v double, w double"
+    left = [(1, "a", "x", 1.0, None), (2, "a", "y", 2.0, 2.0), (3, "b", "z", None, 3.0), (4, "b", "p", 4.0, 4.0), (4, "c", "p", 4.0, 4.0),
+            (5, "c", "q", 5.0, 5.0), (6, "c", "r", 6.0, 6.0), (6, "c", "r", 6.0, 6.0), (None, None, "n", 0.0, 0.0), (8, "c", "t", 8.0, 8.0)]
+    right = [(1, "a", "x", 1.0, None), (2, "a", "y", 2.0, 2.0), (3, "b", "z", 3.0, None), (4, "c", "p", 4.0, 4.0),
+             (5, "c", "q", 5.0, 5.0), (6, "c", "r", 6.0, 6.0), (6, "c", "r", 6.0, 6.0), (None, None, "n", 0.0, 1.0), (7, "d", "u", 7.0, 7.0), (8, "c", "t", 8.0, 8.0)]
+    a, b = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    got = {(r.kind, r.column_name): r.rows for r in INC.compare_tables(a, b, "k", by="day").collect()}
+    assert got == {("only_left", None): 0, ("only_right", None): 1, ("repeated_left", None): 2, ("repeated_right", None): 1, ("changed", None): 2,
+                   ("changed", "day"): 0, ("changed", "s"): 0, ("changed", "v"): 1, ("changed", "w"): 2}
+    for by in (None, "day"):
+        assert tuple(INC.relation_diff(a, b, by).first()) == (3, 3)
+    both = a.withColumn("__side", F.lit(1)).unionByName(b.withColumn("__side", F.lit(-1)))
+    assert set(INC.differing_values(both, "day", a.columns)) == {"b", "d", None}
+
+
+def test_whole_rows_are_compared_only_on_days_that_differ(spark):
+    a = spark.range(40).selectExpr("id AS k", "cast(id % 4 AS string) AS day", "id AS v")
+    b = a.withColumn("v", F.when(F.col("k") == 6, -1).otherwise(F.col("v")))
+    assert INC.differing_values(a.withColumn("__side", F.lit(1)).unionByName(b.withColumn("__side", F.lit(-1))), "day", a.columns) == ["2"]
+    assert INC.relation_diff(a, b, "day").first().asDict() == {"rows_only_in_left": 1, "rows_only_in_right": 1}
+
+
+def test_a_first_batch_with_repeated_keys_leaves_no_table(spark, tmp_dir):
+    path = f"{tmp_dir}/fct"
+    with pytest.raises(INC.DuplicateKeyError):
+        INC.upsert(spark, _fact(spark, [txn("A"), txn("A", amount=7.0)]), path)
+    assert not INC.table_exists(spark, path) and INC._is_vacant(spark, path)
+    INC.upsert(spark, _fact(spark, [txn("A"), txn("B")]), path)
+    assert sorted(r.transaction_id for r in INC.read_table(spark, path).collect()) == ["A", "B"]
