@@ -78,3 +78,24 @@ def test_skewed_keys_give_identical_results_on_both_join_paths(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_distinct_counts_of_the_profile_multiply_no_rows(spark):
+    m = _models(spark, 1_000_000)
+    profile = m.customer_profile
+    assert "Expand" not in _plan(profile)
+    hot = profile.where("customer_id = 'CUST_HOT'").first()
+    assert (hot.distinct_merchant_count, hot.distinct_card_count, hot.lifetime_txn_count) == (1, 1, 1000)
+    per = {r.customer_id: (r.distinct_merchant_count, r.distinct_card_count) for r in profile.where("customer_id = 'CUST_2'").collect()}
+    rows = [r for r in _skewed_rows() if r[2] == "CUST_2"]
+    assert per == {"CUST_2": (len({r[3] for r in rows}), len({r[1] for r in rows} - {None}))}
+
+
+def test_a_fact_dealt_by_day_is_written_without_another_shuffle(spark, tmp_dir):
+    m = _models(spark, 1_000_000)
+    assert _plan(m.fct_by_day()).count("REBALANCE_PARTITIONS_BY_COL") == 1
+    INC.upsert(spark, m.fct_by_day(), f"{tmp_dir}/fct", by_day=True)
+    r = INC.relation_diff(INC.read_table(spark, f"{tmp_dir}/fct"), m.fct_transactions).first()
+    assert (r.rows_only_in_left, r.rows_only_in_right) == (0, 0)
+    shuffled = _models(spark, 0)
+    assert INC.relation_diff(shuffled.fct_by_day(), m.fct_transactions).first().asDict() == {"rows_only_in_left": 0, "rows_only_in_right": 0}
