@@ -105,3 +105,13 @@ def test_rows_of_any_age_are_kept_in_every_micro_batch(spark, tmp_dir):
     assert sorted(r.transaction_id for r in INC.read_table(spark, f"{tmp_dir}/fct").collect()) == list("BCDEF")
     got = {str(r.transaction_date): r.total_transactions for r in spark.read.parquet(f"{tmp_dir}/summary").collect()}
     assert got == {"2023-01-01": 1, "2024-12-10": 1, "2024-12-25": 1, "2024-12-26": 2}
+
+
+def test_only_ids_that_come_again_are_compared_whole(spark):
+    from fraudlens.streaming.flows import without_redeliveries
+    rows = spark.createDataFrame([("A", 1), ("A", 1), ("A", 2), ("B", 1), (None, 1), (None, 1), (None, 2)], "transaction_id string, v int")
+    for bound in (100, 0):
+        got = sorted(tuple(r) for r in without_redeliveries(rows, bound).fillna("").collect())
+        assert got == [("", 1), ("", 2), ("A", 1), ("A", 2), ("B", 1)]
+    single = spark.createDataFrame([("A", 1), ("B", 1)], "transaction_id string, v int")
+    assert without_redeliveries(single) is single
