@@ -49,3 +49,6 @@ def test_unique_failures_stand_at_their_own_check(spark):
     m = FraudModels(raw_sources(spark, [], [customer("C")], [merchant("M")], [card("A"), card("A"), card("B")]), as_of="2024-12-31", audit=False)
     res = {r.model: r.failures for r in Q.run_checks({t: getattr(m, t) for t in names}, checks).collect()}
     assert res == {"stg_customers": 0, "stg_merchants": 0, "stg_cards": 1}
+    for bound in (0, None):
+        res = {r.model: r.failures for r in Q.run_checks({t: getattr(m, t) for t in names}, checks, bound).collect()}
+        assert res == {"stg_customers": 0, "stg_merchants": 0, "stg_cards": 1}
