@@ -263,9 +263,14 @@ def test_comparison_by_day_counts_as_the_comparison_of_all_rows(spark):
     right = [(1, "a", "x", 1.0, None), (2, "a", "y", 2.0, 2.0), (3, "b", "z", 3.0, None), (4, "c", "p", 4.0, 4.0),
              (5, "c", "q", 5.0, 5.0), (6, "c", "r", 6.0, 6.0), (6, "c", "r", 6.0, 6.0), (None, None, "n", 0.0, 1.0), (7, "d", "u", 7.0, 7.0), (8, "c", "t", 8.0, 8.0)]
     a, b = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
-    got = {(r.kind, r.column_name): r.rows for r in INC.compare_tables(a, b, "k", by="day").collect()}
-    assert got == {("only_left", None): 0, ("only_right", None): 1, ("repeated_left", None): 2, ("repeated_right", None): 1, ("changed", None): 2,
-                   ("changed", "day"): 0, ("changed", "s"): 0, ("changed", "v"): 1, ("changed", "w"): 2}
+    def counts(**how):
+        return {(r.kind, r.column_name): r.rows for r in INC.compare_tables(a, b, "k", **how).collect()}
+
+    assert counts(buckets=1, by="day") == {
+        ("only_left", None): 0, ("only_right", None): 1, ("repeated_left", None): 2, ("repeated_right", None): 1, ("changed", None): 2,
+        ("changed", "day"): 0, ("changed", "s"): 0, ("changed", "v"): 1, ("changed", "w"): 2}
+    for buckets in (1, 3, 4096):
+        assert counts(buckets=buckets, by="day") == counts(buckets=buckets)
     for by in (None, "day"):
         assert tuple(INC.relation_diff(a, b, by).first()) == (3, 3)
     both = a.withColumn("__side", F.lit(1)).unionByName(b.withColumn("__side", F.lit(-1)))
