@@ -5,6 +5,7 @@ from decimal import Decimal
 
 from fixtures import card, customer, merchant, raw_sources, txn
 
+from fraudlens.operators import reports as R
 from fraudlens.plans.models import FraudModels
 
 MAX = "2024-12-30"
@@ -111,3 +112,15 @@ def test_fraud_summary_groups_keep_nulls_and_rates(spark):
     fraud_group = [r for r in rows if r.fraud_type == "stolen_card"][0]
     assert fraud_group.fraud_rate == 1.0 and fraud_group.fraud_volume_rate == 1.0
     assert any(r.card_type is None for r in rows)                         # join miss is a group
+
+
+def test_summary_groups_stand_apart_from_the_joins(spark):
+    t = [txn(f"T{i}", date=f"2024-01-0{1 + 3 * (i % 2)}", amount=float(i)) for i in range(8)]
+    m = FraudModels(raw_sources(spark, t, [customer("CUST_1")], [merchant("MERCH_1")], [card("CARD_1")]), as_of="2024-12-31", audit=False)
+    plan = m.fct_fraud_summary._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("RepartitionByExpression") < plan.index("Join")
+    daily = R.daily_totals(m.fct_fraud_summary)
+    # the totals are kept: neither the spine nor the join runs the summary again
+    assert "merchant_category" not in daily._jdf.queryExecution().optimizedPlan().toString()
+    assert [(str(r[0]), r[1]) for r in daily.orderBy("transaction_date").collect()] == [
+        ("2024-01-01", 4), ("2024-01-02", 0), ("2024-01-03", 0), ("2024-01-04", 4)]
