@@ -47,3 +47,12 @@ def test_amounts_out_of_range_become_null_and_wide_spaces_are_trimmed(spark):
     got = df.select(C.to_amount("d").alias("a"), C.trim_ws("s").alias("s")).collect()
     assert [r.a if r.a is None else float(r.a) for r in got] == [None, 12.3456, -0.005]
     assert [r.s for r in got] == ["a\u00a0b", "x", None]
+
+
+def test_initcap_word_looks_up_days_and_treats_other_words_alike(spark):
+    words = ["monday", " FRIDAY\u00a0", "sunDAY", "new york", "o'neil", "\u01c6ep", "mondays", "", "\t", None]
+    df = spark.createDataFrame([(w,) for w in words], "w string").select(
+        C.initcap_word("w").alias("got"), F.initcap(F.lower(C.trim_ws("w"))).alias("want"))
+    assert [r.got for r in df.collect()] == [r.want for r in df.collect()]
+    plan = spark.range(1).select(C.initcap_word(F.col("id").cast("string")).alias("d"))._jdf.queryExecution().analyzed().toString()
+    assert all(f"THEN {d}" in plan for d in C.DAY_NAMES)

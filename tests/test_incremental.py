@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fixtures import card, customer, merchant, raw_sources, txn
 
 from fraudlens.plans import incremental as INC
+from fraudlens.plans import queries_ops, registry
 from fraudlens.plans.models import FraudModels
 
 
@@ -291,3 +292,25 @@ def test_a_first_batch_with_repeated_keys_leaves_no_table(spark, tmp_dir):
     assert not INC.table_exists(spark, path) and INC._is_vacant(spark, path)
     INC.upsert(spark, _fact(spark, [txn("A"), txn("B")]), path)
     assert sorted(r.transaction_id for r in INC.read_table(spark, path).collect()) == ["A", "B"]
+
+
+@pytest.mark.parametrize("name, count", [("i3_upsert_twice", 5), ("i8_key_index_moves", 3)])
+def test_only_the_days_of_later_batches_are_staged(spark, monkeypatch, name, count):
+    days = [*["2001-04-02"] * 20, *["2001-06-27"] * 3, "2001-07-12", "2001-07-21", "2001-07-21", "2001-07-30", "2001-08-01"]
+    m = FraudModels(raw_sources(spark, [txn(f"T{i}", date=d) for i, d in enumerate(days)], [customer("CUST_1")], [merchant("MERCH_1")],
+                                [card("CARD_1")]), as_of="2001-08-01", audit=False)
+    sizes, stage = [], queries_ops.staged
+
+    def spy(df, label):
+        out = stage(df, label)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(queries_ops, "staged", spy)
+    monkeypatch.setattr(queries_ops, "models", lambda spark, sf_dir: m)
+    got = registry.queries()[name](spark, "")
+    # i3: a row of 12 July comes again under a new key, two of the 21st move to the 27th
+    new = 1 if name == "i3_upsert_twice" else 0
+    assert got.count() == len(days) + new and sizes == [count]
+    moved = got.where("transaction_date = DATE'2001-07-27' AND status = 'REVERSED'").count()
+    assert moved == (2 if name == "i3_upsert_twice" else 0)
