@@ -278,6 +278,37 @@ def test_comparison_by_day_counts_as_the_comparison_of_all_rows(spark):
     assert set(INC.differing_values(both, "day", a.columns)) == {"b", "d", None}
 
 
+def test_every_row_of_repeated_keys_is_compared(spark):
+    schema = "k int, day string, s string, v double"
+    left = [(1, "a", "x", 1.0), (2, "a", "y", None), (3, "b", "z", 3.0), (3, "b", "w", 3.0), (4, "c", "p", 4.0), (5, "c", "q", 5.0), (5, "c", "q", 5.0),
+            (None, None, "n", 0.0), (6, "d", "r", 6.0), (6, "e", "r", 6.0), (8, "f", "only", 8.0), (8, "f", "only", 8.0)]
+    right = [(1, "a", "x", 1.0), (2, "a", "y", 2.0), (3, "b", "z", 3.0), (3, "b", "w", 3.0), (4, "d", "p", 4.0), (5, "c", "q", 5.0), (5, "c", None, 5.0),
+             (None, None, "n", 0.0), (None, None, "n", 0.0), (6, "e", "r", 6.0), (7, "d", "new", 7.0), (9, "g", "two", 1.0), (9, "g", "two", 2.0)]
+    values, kinds = ("day", "s", "v"), ("only_left", "only_right", "repeated_left", "repeated_right", "changed")
+    count = {(kind, None): 0 for kind in kinds} | {("changed", c): 0 for c in values}
+    for side, one, other in (("left", left, right), ("right", right, left)):
+        keys = [r[0] for r in one]
+        count[f"only_{side}", None] = sum(k not in {r[0] for r in other} for k in keys)
+        count[f"repeated_{side}", None] = sum(keys.count(k) > 1 for k in set(keys))
+    for x in left:
+        for y in (y for y in right if x[0] == y[0]):
+            count["changed", None] += x != y
+            for i, c in enumerate(values, 1):
+                count["changed", c] += x[i] != y[i]
+    a, b = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+
+    def counts(x, y, **how):
+        return {(r.kind, r.column_name): r.rows for r in INC.compare_tables(x, y, "k", every_row=True, **how).collect()}
+
+    for buckets, by, most in ((1, "day", 100), (4096, "day", 1), (4096, None, 100)):
+        assert counts(a, b, buckets=buckets, by=by, max_broadcast_rows=most) == count
+    # equal tables: keys 3, 5, 6 and 8 are repeated on both sides, and rows of 3 and 6 differ among themselves
+    same = counts(a, a, by="day")
+    assert (same["repeated_left", None], same["repeated_right", None], same["changed", None], same["changed", "s"], same["changed", "day"]) == (4, 4, 4, 2, 2)
+    once = counts(a.where("k < 3"), b.where("k < 3"), by="day")
+    assert (once["repeated_left", None], once["changed", None], once["changed", "v"]) == (0, 1, 1)
+
+
 def test_whole_rows_are_compared_only_on_days_that_differ(spark):
     a = spark.range(40).selectExpr("id AS k", "cast(id % 4 AS string) AS day", "id AS v")
     b = a.withColumn("v", F.when(F.col("k") == 6, -1).otherwise(F.col("v")))
