@@ -1,13 +1,20 @@
 """Plan-shape and skew properties that matter at scale."""
 
 import contextlib
+import datetime as dt
 import io
 
+import pytest
 from fixtures import card, customer, merchant, raw_sources, txn
+from pyspark.sql import functions as F
 
+from fraudlens.operators import dealing as D
+from fraudlens.operators import marts as M
+from fraudlens.operators import monthly as MM
 from fraudlens.operators.lookup import bounded_broadcast
 from fraudlens.plans import incremental as INC
 from fraudlens.plans.models import FraudModels
+from fraudlens.sources.adapters import raw_from_driver_tables
 
 
 def _plan(df) -> str:
@@ -99,3 +106,69 @@ def test_a_fact_dealt_by_day_is_written_without_another_shuffle(spark, tmp_dir):
     assert (r.rows_only_in_left, r.rows_only_in_right) == (0, 0)
     shuffled = _models(spark, 0)
     assert INC.relation_diff(shuffled.fct_by_day(), m.fct_transactions).first().asDict() == {"rows_only_in_left": 0, "rows_only_in_right": 0}
+
+
+def test_rows_meet_large_dimensions_on_their_one_shuffle_by_day(spark):
+    rows = [txn(f"T{i}", card=None if i % 11 == 0 else f"CARD_{i % 7}", cust=None if i % 13 == 0 else f"CUST_{i % 5}", merch=f"MERCH_{i % 2}",
+                date="2024-12-30" if i % 3 else f"2024-12-{1 + i % 20:02d}") for i in range(300)] 
+    rows += [(*t[:7], None, *t[8:]) for t in (txn("N1"), txn("N2", card="CARD_9"))]
+    cards = [card(f"CARD_{i}", blocked=i % 2 == 0) for i in range(6)] + [card("CARD_1", expiry=dt.date(2020, 1, 1)), card(None)]
+    customers = [customer(f"CUST_{i}", country=f"C{i}") for i in range(4)] + [customer("CUST_2", tier="HIGH")]
+    m = FraudModels(raw_sources(spark, rows, customers, [merchant("MERCH_0"), merchant("MERCH_1")], cards), as_of="2024-12-31", audit=False, max_broadcast_rows=3)
+    met = m.fct_by_day(stored=True)
+    plan = _plan(met)
+    assert "REBALANCE" not in plan and plan.count("REPARTITION_BY_COL") == 1
+    assert INC.relation_diff(met, m.fct_transactions).first().asDict() == {"rows_only_in_left": 0, "rows_only_in_right": 0}
+    assert met.where("transaction_id = 'T1'").count() == 2 and met.where("transaction_id = 'N2'").count() == 1       # CARD_1 stands twice
+
+
+def test_a_hot_day_is_dealt_to_several_tasks(spark):
+    rows = spark.range(1000).selectExpr("if(id < 900, 'hot', concat('d', id % 9)) AS day", "id").unionByName(
+        spark.range(200).selectExpr("cast(NULL AS string) AS day", "id"))
+    counts = D.rows_by(rows, "day")
+    assert counts["hot"] == 900 and counts[None] == 200
+    dealt = D.dealt_by(rows, "day", ["id"], counts, coalesced=False, least_rows=100)
+    slots = {r[0]: r[1] for r in dealt.groupBy("day").agg(F.count_distinct(D.SLOT)).collect()}
+    assert slots["hot"] == 2 and slots["d1"] == 1 and slots[None] == 1               # 4 tasks: a share is twice 300
+    assert dealt.groupBy("day", D.SLOT, "id").count().count() == 1200
+    assert D.dealt_by(rows, "day", ["id"], counts, least_rows=1).where("day = 'hot'").select(D.SLOT).distinct().count() == 2
+    assert D.dealt_by(rows, "day", ["id"], counts).select(D.SLOT).distinct().count() == 1
+
+
+def test_the_summary_of_a_fact_by_day_has_one_shuffle(spark, tmp_dir):
+    m = _models(spark, 1_000_000)
+    INC.upsert(spark, m.fct_by_day(), tmp_dir, by_day=True)
+    fct = INC.read_table(spark, tmp_dir)
+    summary = M.fct_fraud_summary(fct, audit=False, by_day=True)
+    assert _plan(summary).split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
+    assert INC.relation_diff(summary, m.fct_fraud_summary).first().asDict() == {"rows_only_in_left": 0, "rows_only_in_right": 0}
+
+
+def test_months_are_dealt_once(spark):
+    stg = _models(spark, 1_000_000).stg_transactions
+    for by_month, plain in ((MM.merchant_month(stg, by_month=True), MM.merchant_month(stg)), (MM.links_month(stg, by_month=True), MM.links_month(stg))):
+        assert _plan(by_month).split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
+        assert by_month.dtypes == plain.dtypes
+        assert INC.relation_diff(by_month, plain).first().asDict() == {"rows_only_in_left": 0, "rows_only_in_right": 0}
+
+
+def test_a_first_index_checks_the_keys_it_names(spark, tmp_dir, monkeypatch):
+    rows = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "y"), (None, "z")], "k string, day string")
+    INC.save_schema(spark, tmp_dir, rows.schema)
+    INC.index_new_table(spark, rows, tmp_dir, ["k"], "day")
+    assert sorted(r.day for r in spark.read.parquet(f"{tmp_dir}/{INC.INDEX_DIR}").collect()) == ["x", "y", "y"]
+    assert INC.key_days(spark, rows.where("k = 'a'"), tmp_dir, ["k"], "day") == ["x"]
+    for twice in (rows.unionByName(rows.limit(1)), rows.unionByName(rows.where("k IS NULL"))):
+        with pytest.raises(INC.DuplicateKeyError):
+            INC.index_new_table(spark, twice, tmp_dir + "/twice", ["k"], "day")
+    # two keys of one hash are no repeated key, and both days are named
+    entries = INC._index_entries
+    monkeypatch.setattr(INC, "_index_entries", lambda *a: entries(*a).withColumn("name", F.lit(5).cast("bigint")).withColumn("bucket", F.lit(5)))
+    INC.index_new_table(spark, rows.limit(3), tmp_dir + "/met", ["k"], "day")
+    assert sorted(r.day for r in spark.read.parquet(f"{tmp_dir}/met/{INC.INDEX_DIR}").collect()) == ["x", "y", "y"]
+
+
+def test_landing_by_day_gives_the_same_rows(spark):
+    dealt, plain = (raw_from_driver_tables(spark, "/root/testdata/sf0.001", by_day)["transactions"] for by_day in (True, False))
+    assert dealt.dtypes == plain.dtypes and "REBALANCE" in _plan(dealt)
+    assert INC.relation_diff(dealt, plain).first().asDict() == {"rows_only_in_left": 0, "rows_only_in_right": 0}
